@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .packaging import ship
+
 LOG = "batch_id long, i long, j long, k long, res map<string,string>, body string, attrs map<string,string>, data string"
 RECORD = "shard_id string, seq long, partition_key string, data binary, encoding string, codec string"
 LEASE = "shard_id string, owner string, counter long, checkpoint string, parents array<string>"
@@ -12,6 +14,7 @@ TRIM_HORIZON, SHARD_END = "TRIM_HORIZON", "SHARD_END"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
