@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..packaging import ship
+
 DEFAULT_DIR = "file:/tmp/checkpoints/telestream"
 #: ASCII white space as the contracts use it; bytes.split() splits on exactly these.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -33,6 +35,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        ship(spark)
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         atexit.register(self.drop)
 
@@ -77,6 +80,7 @@ def map_rows(df: DataFrame, schema: str, make: Callable, text: str | None = None
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship(df.sparkSession)
     out = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality_rule_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.score(table(spark, sf_dir, "documents"))
+    return quality_rules.score(table(spark, sf_dir, "documents")).drop("longest_repeat")
 
 
 def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

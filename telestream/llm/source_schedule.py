@@ -68,14 +68,15 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int
     per.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     sizes = [int(r["size"]) for r in per]
     goal = targets(sizes, [weights[i % len(weights)] for i in range(len(per))], most)
-    blocks = [max(1, round(s / block)) if s else 0 for s in sizes]
-    slots = [g * b / s if s else 0.0 for g, b, s in zip(goal, blocks, sizes)]
-    n_slots = round(sum(slots))
-    plan, at = [], 0.0
+    blocks = [max(1, (2 * s + block) // (2 * block)) if s else 0 for s in sizes]
+    # slots of each source in millionths, so that bounds are exact whole numbers
+    slots = [int(g * b / s * 1e6) if s else 0 for g, b, s in zip(goal, blocks, sizes)]
+    n_slots = (sum(slots) + 500_000) // 1_000_000
+    plan, at = [], 0
     for i, r in enumerate(per):
-        low, at = at, at + (slots[i] / sum(slots) if n_slots else 0.0)
-        high = MODULUS if i == len(per) - 1 else int(at * MODULUS)
-        plan.append((i, r["source"], sizes[i], float(goal[i]), blocks[i], int(low * MODULUS), high, max(1, r["n"] // CHUNK)))
+        low, at = at, at + slots[i]
+        bound = [x * MODULUS // max(1, sum(slots)) for x in (low, at)]
+        plan.append((i, r["source"], sizes[i], float(goal[i]), blocks[i], *bound, max(1, r["n"] // CHUNK)))
     plan = spark.createDataFrame(plan, "source_no int, source string, source_size long, target double, blocks long, low long, high long, parts long")
     # one row per source: bounded by the sources' number, which adaptive execution checks before it broadcasts
     docs_in = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select("doc_id", "size", "place", "tie", plan["source_no"], "source_size", "target", "blocks", "parts")
