@@ -62,10 +62,13 @@ class ZipRanges:
     def _directory(self) -> Iterator[Member]:
         n = min(self.size, 22 + FULL16)
         tail = self._at(self.size - n, n)
-        p = tail.rfind(struct.pack("<I", END))
-        while p >= 0 and p + 22 <= n and p + 22 + struct.unpack_from("<H", tail, p + 20)[0] != n:
-            p = tail.rfind(struct.pack("<I", END), 0, p)
-        if p < 0 or p + 22 > n:
+        p = n
+        while p >= 0:
+            # the comment may hold the mark too: a real record ends where the file does
+            p = tail.rfind(struct.pack("<I", END), 0, p + 3)
+            if p >= 0 and p + 22 <= n and p + 22 + struct.unpack_from("<H", tail, p + 20)[0] == n:
+                break
+        if p < 0:
             raise ValueError("no end record: not a ZIP file")
         count, length, start = struct.unpack_from("<HII", tail, p + 10)
         end = self.size - n + p
