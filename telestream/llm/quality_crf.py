@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..packaging import ship
-from .common import SPACE, Ragged, int_lists, map_rows
+from .common import SPACE, Ragged, few, int_lists, map_rows
 
 UPPER, DIGIT, SYMBOL, STOP = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&|<>{}[]=~^_@\\", b"!?"
 RAW = 12
@@ -146,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, held_out: int
     if held_out is not None:
         known = known.filter(sample_fold() != held_out)
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = few(known, sample, known.count(), "doc_id")
     # at most `sample` rows of two numbers: broadcast whatever the size of the corpus
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("quality", "text")
 
