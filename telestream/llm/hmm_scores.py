@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Ragged, Workspace, blobs, map_rows, slices
+from .common import Ragged, Workspace, blobs, few, map_rows, slices
 
 #: Base-score smoothing (fixed by the contract).
 ADD = 0.1
@@ -273,7 +273,7 @@ def score(docs: DataFrame, plan: Plan = Plan(), fold: int | None = 0) -> DataFra
     learn = coded.filter("NOT held_out").select("seq", "doc_id")
     prior = np.r_[c_of + ADD * (v_of + 1), count[own], ends + ADD].astype(np.float64)
     hmm = Hmm(plan.states, prior, plan.seed)
-    first = learn.orderBy(F.xxhash64("seq"), "doc_id").limit(plan.sample).select("seq").toArrow()
+    first = few(learn, plan.sample, ends, "doc_id", "seq").select("seq").toArrow()
     seqs = _seqs(first.column("seq"))
     for _ in range(plan.sample_rounds if seqs else 0):
         hmm.update(*hmm.expect(seqs))
