@@ -34,8 +34,8 @@ from .common import int_lists, map_rows, strings
 MARK = "▁"
 #: Stands for a space mark of the text; no unit is empty.
 ESCAPE = ""
-NONE = float("-inf")
-MULTIPLIER = 0xD6E8FEB86659FD93
+NONE, PAD, LONG = 1 << 40, -1, 48
+MULTIPLIER, MASK = 0xD6E8FEB86659FD93, (1 << 64) - 1
 
 
 class Pieces:
@@ -65,33 +65,128 @@ class Pieces:
         self.units = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
         if any(MARK in p.lstrip(MARK) or "\n" in p and len(p) > 1 for p in self.id):
             raise ValueError("the model has pieces that go on past a space or a line end")
-
-    def encode_unit(self, unit: str, drop: float, key: int) -> list[int]:
-        parts = (self._short if len(unit) <= 48 else self._long)(list(unit), int(drop * (1 << 32)), key)
-        try:
-            return [self.id[p] for p in parts]
-        except KeyError:
-            return [i for p in parts for i in ([self.id[p]] if p in self.id else (self.byte[b] for b in p.encode("utf-8", "surrogatepass")))]
-
-    def _short(self, parts: list[str], bar: int, key: int) -> list[str]:
-        """The agenda as a list beside the parts; its best entry is found by a scan."""
-        score, at = self.score.get, list(range(len(parts) + 1))
-        pairs = [score(a + b, NONE) for a, b in zip(parts, parts[1:])]
-        while pairs and (best := max(pairs)) != NONE:
-            i = pairs.index(best)
-            if ((key ^ (at[i] << 40 | at[i + 1] << 20 | at[i + 2])) * MULTIPLIER >> 40) & 0xFFFFFFFF < bar:
-                pairs[i] = NONE
+        self._tables()
+
+    def _tables(self) -> None:
+        """Pairs of symbols and the pieces they make. A symbol is a piece, or a character
+        that only stands inside pieces."""
+        number = dict(self.id)
+        for c in sorted({c for p in self.id for c in p} - set(self.id)):
+            number[c] = len(self.text) + ord(c)
+        made = [p for p in self.id if len(p) > 1]
+        place = {x: r for r, x in enumerate(sorted({-self.score[p] for p in made}))}
+        pairs = sorted((number[p[:k]] << 32 | number[p[k:]], place[-self.score[p]], self.id[p]) for p in made for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
+        keys, ranks, pieces_ = zip(*pairs) if pairs else ([-1], [NONE], [0])
+        self.pair_keys, self.pair_ranks, self.pair_pieces = np.array(keys, np.int64), np.array(ranks, np.int64), np.array(pieces_, np.int32)
+        single = {ord(p): i for p, i in self.id.items() if len(p) == 1}
+        self.of_char = np.full(max(single, default=0) + 1, -1, np.int32)
+        self.of_char[list(single)] = list(single.values())
+
+    def unit_keys(self, codes: np.ndarray, seed: int, variant: int) -> np.ndarray:
+        """A 64-bit key of each row of code points under a seed and a variant."""
+        h = np.full(len(codes), (seed * 1_000_003 + variant) & MASK, np.uint64)
+        for k in range(codes.shape[1]):
+            h = (h ^ codes[:, k].astype(np.uint64)) * np.uint64(MULTIPLIER)
+            h ^= h >> np.uint64(29)
+        return h
+
+    def encode_units(self, units: list[str], drop: float, seed: int, variant: int) -> list[bytes]:
+        """The pieces of many units at once, as 32-bit ids; units of a length share arrays."""
+        bar = int(drop * (1 << 32))
+        by_length: dict[int, list[int]] = {}
+        for i, u in enumerate(units):
+            by_length.setdefault(len(u), []).append(i)
+        out: list[bytes] = [b""] * len(units)
+        for n, where in by_length.items():
+            for at in range(0, len(where), 1 << 15):
+                own = where[at : at + (1 << 15)]
+                codes = np.frombuffer("".join(units[i] for i in own).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(own), n)
+                keys = self.unit_keys(codes, seed, variant)
+                if n > LONG:
+                    for i, k in zip(own, keys.tolist()):
+                        out[i] = self.as_ids(self.by_heap(list(units[i]), bar, k))
+                else:
+                    for i, data in zip(own, self._together(codes, bar, keys)):
+                        out[i] = data
+        return out
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a pair of symbols stands in the table, and whether it does."""
+        key = left.astype(np.int64) << 32 | right.astype(np.int64) & 0xFFFFFFFF
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return at, self.pair_keys[at] == key
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank by score of the piece that two symbols make, NONE if there is none."""
+        at, found = self._find(left, right)
+        return np.where(found, self.pair_ranks[at], NONE)
+
+    def _together(self, codes: np.ndarray, bar: int, keys: np.ndarray) -> list[bytes]:
+        """The agendas of units of one length, a step of each at a time: the best entry is
+        the smallest rank, the leftmost of equals."""
+        rows, n = codes.shape
+        sym = np.where(codes < len(self.of_char), self.of_char[np.minimum(codes, len(self.of_char) - 1)], -1).astype(np.int32)
+        sym = np.where(sym >= 0, sym, len(self.text) + codes.astype(np.int32))
+        done_sym = np.full((rows, n), PAD, np.int32)
+        at = np.tile(np.arange(n + 1, dtype=np.int64), (rows, 1))
+        ranks = self._ranks(sym[:, :-1], sym[:, 1:]) if n > 1 else np.empty((rows, 0), np.int64)
+        ids = np.arange(rows)
+        cols = np.arange(n)
+        while len(ids) and n > 1:
+            best = ranks.argmin(axis=1)
+            r = np.arange(len(ids))
+            top = ranks[r, best]
+            live = top < NONE
+            if not live.all():
+                done_sym[ids[~live]] = sym[~live]
+                ids, sym, at, ranks, keys, best, top = (x[live] for x in (ids, sym, at, ranks, keys, best, top))
+                if not len(ids):
+                    break
+                r = np.arange(len(ids))
+            span = at[r, best] << 40 | at[r, best + 1] << 20 | at[r, best + 2]
+            skip = ((keys ^ span.astype(np.uint64)) * np.uint64(MULTIPLIER)) >> np.uint64(32) < np.uint64(bar)
+            ranks[r[skip], best[skip]] = NONE
+            m = np.flatnonzero(~skip)
+            if not len(m):
                 continue
-            parts[i] = new = parts[i] + parts[i + 1]
-            del parts[i + 1], at[i + 1], pairs[i]
-            if i < len(pairs):
-                pairs[i] = score(new + parts[i + 1], NONE)
-            if i:
-                pairs[i - 1] = score(parts[i - 1] + new, NONE)
-        return parts
-
-    def _long(self, parts: list[str | None], bar: int, key: int) -> list[str]:
-        """The same with a heap, for units of any length."""
+            b = best[m]
+            new = self.pair_pieces[self._find(sym[m, b], sym[m, b + 1])[0]]
+            take = cols[None, :] + (cols[None, :] > b[:, None])
+            moved = np.concatenate([sym[m], np.full((len(m), 1), PAD, np.int32)], axis=1)
+            moved = np.take_along_axis(moved, take, axis=1)
+            k = np.arange(len(m))
+            moved[k, b] = new
+            sym[m] = moved
+            ends = np.concatenate([at[m], at[m][:, -1:]], axis=1)
+            take = np.arange(n + 1)[None, :]
+            at[m] = np.take_along_axis(ends, take + (take > b[:, None]), axis=1)
+            left = np.concatenate([ranks[m], np.full((len(m), 1), NONE)], axis=1)
+            take = cols[None, :-1]
+            left = np.take_along_axis(left, take + (take >= b[:, None]), axis=1)
+            after = np.where(b + 1 < n, moved[k, np.minimum(b + 1, n - 1)], PAD)
+            has = b < n - 1
+            left[k[has], b[has]] = self._ranks(new[has], after[has])
+            has = b > 0
+            left[k[has], b[has] - 1] = self._ranks(moved[k[has], b[has] - 1], new[has])
+            ranks[m] = left
+        if len(ids):
+            done_sym[ids] = sym
+        keep = done_sym != PAD
+        data, ends = done_sym[keep].tobytes(), (np.cumsum(keep.sum(axis=1)) * 4).tolist()
+        out = [data[i:j] for i, j in zip([0, *ends], ends)]
+        for i in np.flatnonzero((done_sym >= len(self.text)).any(axis=1)).tolist():
+            flat = (x for x in done_sym[i].tolist() if x != PAD)
+            out[i] = array("i", [y for x in flat for y in ([x] if x < len(self.text) else self._bytes(chr(x - len(self.text))))]).tobytes()
+        return out
+
+    def _bytes(self, text: str) -> list[int]:
+        return [self.byte[b] for b in text.encode("utf-8", "surrogatepass")]
+
+    def as_ids(self, parts: list[str]) -> bytes:
+        return array("i", [i for p in parts for i in ([self.id[p]] if p in self.id else self._bytes(p))]).tobytes()
+
+    def by_heap(self, parts: list[str | None], bar: int, key: int) -> list[str]:
+        """The agenda of one unit of any length, as a heap."""
         n = len(parts)
         after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[float, int, int, int]] = []
@@ -106,7 +201,7 @@ class Pieces:
             _, i, j, end = heappop(agenda)
             if parts[i] is None or after[i] != j or parts[j] is None or ends[j] != end:
                 continue
-            if ((key ^ (i << 40 | j << 20 | end)) * MULTIPLIER >> 40) & 0xFFFFFFFF < bar:
+            if ((key ^ (i << 40 | j << 20 | end)) * MULTIPLIER & MASK) >> 32 < bar:
                 continue
             parts[i], parts[j] = parts[i] + parts[j], None
             ends[i] = end
@@ -126,7 +221,7 @@ class Pieces:
 
 _models: dict[str, Pieces] = {}
 _cache: dict[tuple, dict[str, bytes]] = {}
-CACHED = 500_000
+CACHED = 300_000
 
 
 def pieces(path: str) -> Pieces:
@@ -143,31 +238,40 @@ class Encoder:
         self.path = path
         self.escape = np.array([self.model.byte[b] for b in MARK.encode()], np.int32).tobytes()
 
-    def _unit(self, unit: str, variant: int) -> bytes:
-        data = unit.encode("utf-8", "surrogatepass")
-        key = zlib.crc32(data, self.seed & 0xFFFFFFFF) | zlib.crc32(data, (self.seed * 31 + variant + 7) & 0xFFFFFFFF) << 32
-        return array("i", self.model.encode_unit(unit, self.drop, key)).tobytes()
+    def variant(self, key: int) -> int:
+        return zlib.crc32(key.to_bytes(8, "little", signed=True), self.seed & 0xFFFFFFFF) % self.variants
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
+        return self.encode_batch([text], [key])[0]
+
+    def encode_batch(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
+        """The texts' pieces; units that are not remembered are encoded together."""
+        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
+        split = [self._split(t) for t in texts]
+        chosen = [self.variant(k) for k in keys]
+        for v in set(chosen):
+            own = _cache.setdefault((self.path, self.seed, self.drop, v), {})
+            if len(own) > CACHED // self.variants:
+                own.clear()
+            own[ESCAPE] = self.escape
+            mine = [i for i, c in enumerate(chosen) if c == v]
+            new = list(set().union(*(split[i] for i in mine)).difference(own))
+            own.update(zip(new, self.model.encode_units(new, self.drop, self.seed, v)))
+            for i in mine:
+                out[i] = np.frombuffer(b"".join(map(own.__getitem__, split[i])), np.int32)
+        return out
+
+    def _split(self, text: str) -> list[str]:
         if not text:
-            return np.empty(0, np.int32)
-        variant = zlib.crc32(key.to_bytes(8, "little", signed=True), self.seed & 0xFFFFFFFF) % self.variants
-        own = _cache.setdefault((self.path, self.seed, self.drop, variant), {})
-        if len(own) > CACHED // self.variants:
-            own.clear()
+            return []
+        if MARK not in text:
+            return self.model.units.findall(MARK + text.replace(" ", MARK))
         # marks in the text itself are written as bytes, so they cannot be taken for spaces
         units: list[str] = []
         for n, part in enumerate(text.split(MARK)):
             part = part.replace(" ", MARK)
             units += ([ESCAPE] if n else []) + self.model.units.findall(part if n else MARK + part)
-        try:
-            return np.frombuffer(b"".join(map(own.__getitem__, units)), np.int32)
-        except KeyError:
-            own[ESCAPE] = self.escape
-            for u in units:
-                if u not in own:
-                    own[u] = self._unit(u, variant)
-            return np.frombuffer(b"".join(map(own.__getitem__, units)), np.int32)
+        return units
 
 
 def encode(docs: DataFrame, model: str, drop: float = 0.1, seed: int = 1, variants: int = 2) -> DataFrame:
@@ -179,7 +283,7 @@ def encode(docs: DataFrame, model: str, drop: float = 0.1, seed: int = 1, varian
         e = Encoder(model, drop, seed, variants)
         texts = strings(b.column("text"))
         keys = [zlib.crc32(str(i).encode()) for i in b.column("doc_id").to_pylist()]
-        found = [e.encode(t, k) for t, k in zip(texts, keys)]
+        found = e.encode_batch(texts, keys)
         return {
             "doc_id": b.column("doc_id"),
             "n_bytes": [len(t.encode()) for t in texts],
