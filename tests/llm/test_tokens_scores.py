@@ -69,13 +69,14 @@ def test_seeds_and_drop_rate():
     assert len(make(0.0, 1)) < len(make(0.3, 1)) < len(make(1.0, 1)) == len(t) + 1 - t.endswith(" ") * 0
 
 
-def test_heap_and_scan_agree():
+def test_heap_and_arrays_agree():
     m, rng = merge_dropout.pieces(tokenizer(PIECE_BPE)), random.Random(5)
-    for _ in range(400):
-        u = "".join(rng.choice("▁▁theinga.,é") for _ in range(rng.randrange(1, 40)))
-        for drop in (0, 0.1, 0.5):
-            key, bar = rng.getrandbits(64), int(drop * 2**32)
-            assert m._short(list(u), bar, key) == m._long(list(u), bar, key)
+    units = ["".join(rng.choice("▁▁theinga.,é中\x00😀") for _ in range(rng.randrange(1, 48))) for _ in range(2000)]
+    for drop in (0, 0.1, 0.5, 1):
+        got = m.encode_units(units, drop, 7, 1)
+        for u, ids in zip(units, got):
+            codes = np.array([[ord(c) for c in u]], np.uint32)
+            assert ids == m.as_ids(m.by_heap(list(u), int(drop * 2**32), int(m.unit_keys(codes, 7, 1)[0])))
 
 
 def test_encode_rows(spark):
