@@ -24,7 +24,7 @@ from .common import WORD, Workspace
 
 #: Steps of the integer golden-ratio sequence: k * STEP mod MODULUS (both fixed values).
 MODULUS, STEP = 2147483647, 1327217885
-CHUNK = 4096
+CHUNK, BINS = 4096, 65536
 
 
 def targets(sizes: list[int], weights: list[float], most: float = 3.0) -> list[float]:
@@ -83,9 +83,12 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int
     docs_in = docs_in.withColumn("part", F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * F.col("parts") / F.lit(1 << 32)).cast("long"))
     placed = ws.table(running(ws, docs_in, "source_no", ["place", "tie"], "part", "size", "start").withColumn("row", F.monotonically_increasing_id()), "placed")
     ids = spark.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") % MODULUS * STEP % MODULUS).alias("point"), F.floor(F.col("id") / CHUNK).cast("long").alias("part"))
+    # a slot's source: points meet ranges by the bin both fall in, of which a source has some
+    # and all sources together at most BINS more than there are sources
     ranges = plan.filter("blocks > 0 AND high > low").select("source_no", "low", "high", "blocks")
-    # a slot's source: points are matched with one row per source
-    hit = ids.join(F.broadcast(ranges), (F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))).withColumn("one", F.lit(1))
+    width = -(-MODULUS // BINS)
+    ranges = ranges.withColumn("bin", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
+    hit = ids.withColumn("bin", F.floor(F.col("point") / width)).join(ranges, "bin").filter("point >= low AND point < high").drop("bin").withColumn("one", F.lit(1))
     hit = ws.table(hit, "points")
     ranked = running(ws, hit, "source_no", ["slot"], "part", "one", "rank").filter(F.col("rank") < F.col("blocks") * F.lit(int(most)))
     taken = ws.table(ranked.select("slot", "source_no", (F.col("rank") % F.col("blocks")).alias("block")), "slots")
