@@ -176,6 +176,40 @@ def _chain_sql() -> str:
         out.append(f"SELECT '{name}' AS chain, outcome, count(*) AS docs, sum(CASE WHEN outcome = 'shipped' THEN raw WHEN outcome IN ('truncated', 'split') THEN {size} ELSE 0 END)::BIGINT AS bytes FROM (SELECT *, CASE WHEN raw <= 3000 THEN 'shipped' {cut} ELSE {last} END AS outcome FROM s) GROUP BY outcome")
     return f"WITH s AS (SELECT strlen(text) AS raw, strlen({_CUT}) AS cut, len(string_split(text, chr(10)))::DOUBLE AS items FROM documents) " + " UNION ALL ".join(out)
 
+#: Multipliers of XXH64 (fixed values).
+_P = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+
+
+def _xxh64_sql(source: str) -> str:
+    """WITH list that ends in ``hashed`` (tag, h): XXH64 with seed 0 of tags under 32 bytes,
+    in 128-bit arithmetic. Each step replaces one running value."""
+    u = lambda n: f"{n}::UHUGEINT"
+    two64 = u(1 << 64)
+    p1, p2, p3, p4, p5 = map(u, _P)
+    mul = lambda a, b: f"(({a}) * {b} % {two64})"
+    rot = lambda a, r: f"(({a}) * {u(1 << r)} % {two64} + ({a}) // {u(1 << (64 - r))})"
+    add = lambda a, b: f"((({a}) + {b}) % {two64})"
+    out = [f"s0 AS (SELECT tag, encode(tag) AS b, strlen(tag)::BIGINT AS n, {p5} + strlen(tag)::UHUGEINT AS h, 0::BIGINT AS o FROM ({source}))"]
+
+    def absorb(width: int, value: list[str], state: list[str]) -> None:
+        k = len(out)
+        lane = " + ".join(f"('0x' || hex(array_slice(b, o + {i + 1}, o + {i + 1})))::UHUGEINT * {u(256**i)}" for i in range(width))
+        out.append(f"s{k} AS (SELECT *, CASE WHEN n - o >= {width} THEN {lane} END AS v FROM s{k - 1})")
+        for name, e in [("v", x) for x in value] + [("h", f"CASE WHEN v IS NULL THEN h ELSE {x} END") for x in state]:
+            out.append(f"s{len(out)} AS (SELECT * REPLACE ({e} AS {name}) FROM s{len(out) - 1})")
+        out.append(f"s{len(out)} AS (SELECT tag, b, n, h, CASE WHEN v IS NULL THEN o ELSE o + {width} END AS o FROM s{len(out) - 1})")
+
+    for _ in range(3):
+        absorb(8, [mul("v", p2), rot("v", 31), mul("v", p1)], ["xor(h, v)", rot("h", 27), add(mul("h", p1), p4)])
+    absorb(4, [mul("v", p1)], ["xor(h, v)", rot("h", 23), add(mul("h", p2), p3)])
+    for _ in range(3):
+        absorb(1, [mul("v", p5)], ["xor(h, v)", rot("h", 11), mul("h", p1)])
+    for e in (f"xor(h, h // {u(1 << 33)})", mul("h", p2), f"xor(h, h // {u(1 << 29)})", mul("h", p3), f"xor(h, h // {u(1 << 32)})"):
+        out.append(f"s{len(out)} AS (SELECT tag, {e} AS h FROM s{len(out) - 1})")
+    return "WITH " + ", ".join(out) + f", hashed AS (SELECT * FROM s{len(out) - 1})"
+
+
+_TAGS = "SELECT concat_ws(chr(31), user_id::VARCHAR, event_type) AS tag, count(*) AS items FROM events GROUP BY 1"
 
 ORACLES = {
     "logs_tag_groups": "SELECT concat_ws(chr(31), user_id::VARCHAR, event_type) AS tag, count(*) AS items, sum(strlen(props))::BIGINT AS bytes, min(event_id) AS first FROM events GROUP BY 1",
@@ -186,6 +220,7 @@ ORACLES = {
     "metrics_zero_datapoint_shell": "SELECT p_brand AS tag, count(*) AS metrics, sum(coalesce(n, 0))::BIGINT AS points, count(*) FILTER (n IS NULL) AS empty FROM part LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1) x ON l_partkey = p_partkey GROUP BY 1",
     "spans_by_resource": "SELECT o_custkey::VARCHAR AS tag, count(*) AS spans, count(DISTINCT o_orderkey) AS traces FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1",
     "spans_by_leaf": "SELECT l_returnflag AS tag, count(DISTINCT o_custkey) AS resources, count(*) AS spans FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1",
+    "key_xxhash_routing": _xxh64_sql(f"SELECT tag FROM ({_TAGS})") + f" SELECT tag, lower(lpad(to_hex(h::UBIGINT), 16, '0')) AS partition_key, (h % 4)::INT AS shard, items FROM hashed JOIN ({_TAGS}) USING (tag)",
     "key_separator_no_collision": f"SELECT count(DISTINCT (user_id, {KEY})) AS tuples, count(DISTINCT md5(concat_ws(chr(31), user_id::VARCHAR, {KEY}))) AS keys, count(DISTINCT user_id::VARCHAR || {KEY}) AS without_separator FROM events",
     "promote_namespace": f"SELECT regexp_extract({METRIC}, '^([a-z]+)_', 1) AS namespace, count(*) AS points, 2 AS attributes FROM lineitem GROUP BY 1",
     "promote_absent_only": "SELECT lower(l_linestatus) AS status, count(*) AS points, count(*) AS kept FROM lineitem GROUP BY 1",
