@@ -34,7 +34,7 @@ from .common import Workspace, map_rows
 
 END, END64, LOCATOR64, ENTRY, LOCAL = 0x06054B50, 0x06064B50, 0x07064B50, 0x02014B50, 0x04034B50
 FULL32, FULL16 = 0xFFFFFFFF, 0xFFFF
-ARCHIVE_BYTES = 64 << 20
+ARCHIVE_BYTES, MOST_TASKS = 64 << 20, 20_000
 
 
 @dataclass(frozen=True)
@@ -246,7 +246,9 @@ def read_archives(archives: DataFrame, folder: str, per_task: int = 2000) -> Dat
     by many tasks."""
     starts = F.sequence(F.lit(0).cast("long"), F.col("records") - 1, F.lit(per_task).cast("long"))
     ranges = archives.filter("records > 0").select("path", F.explode(starts).alias("first"))
-    ranges = ranges.repartition(F.col("path"), F.col("first"))
+    # a range is a few bytes here and megabytes to read, so partitions are set by their number
+    n = archives.agg(F.sum(F.ceil(F.col("records") / per_task))).first()[0] or 1
+    ranges = ranges.repartition(min(int(n), MOST_TASKS))
 
     def page(uri: str | None) -> int | None:
         number = (uri or "").removeprefix("<urn:page:").removesuffix(">")
