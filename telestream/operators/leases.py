@@ -69,12 +69,12 @@ def plan_actions(leases: DataFrame, workers: DataFrame) -> DataFrame:
     rows = rows.withColumns({"held": F.count_if(F.col("mine")).over(by_worker), "open": F.count_if(F.col("free")).over(by_worker)})
     rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("self", "mine", "free").orderBy("shard_id")))
     want = F.col("target") - F.col("held")
-    release = rows.filter(F.col("mine") & (F.col("held") > F.col("target")) & (F.col("place") > F.col("target")))
-    acquire = rows.filter(F.col("free") & (want > 0) & (F.col("place") <= want))
+    release = F.col("mine") & (F.col("held") > F.col("target")) & (F.col("place") > F.col("target"))
+    acquire = F.col("free") & (want > 0) & (F.col("place") <= want)
+    moves = rows.withColumn("action", F.when(release, "release").when(acquire, "acquire")).filter(F.col("action").isNotNull())
     short = rows.select("self", (F.col("target") - F.col("held") - F.col("open")).alias("short")).distinct().filter("short > 0")
     steal = steal_targets(leases, goal).join(short, "self").filter("shard_id IS NOT NULL")
-    take = lambda df, action: df.select("self", F.lit(action).alias("action"), "shard_id")
-    return take(release, "release").unionByName(take(acquire, "acquire")).unionByName(take(steal, "steal"))
+    return moves.select("self", "action", "shard_id").unionByName(steal.select("self", F.lit("steal").alias("action"), "shard_id"))
 
 
 def discover(shards: DataFrame, leases: DataFrame) -> DataFrame:
