@@ -79,6 +79,42 @@ def test_heap_and_arrays_agree():
             assert ids == m.as_ids(m.by_heap(list(u), int(drop * 2**32), int(m.unit_keys(codes, 7, 1)[0])))
 
 
+def test_every_occurrence_has_its_own_segmentation(spark):
+    m, word = merge_dropout.pieces(tokenizer(PIECE_BPE)), "internationalization"
+    df = spark.createDataFrame([(i, word, 0) for i in range(200)] + [(1000, word, k) for k in range(200)] + [(None, f"{word} {i}", 0) for i in range(200)], "doc_id long, text string, again int")
+    rows = merge_dropout.encode(df, tokenizer(PIECE_BPE), 0.3, occurrence="again").collect()
+    assert all(r["lossless"] for r in rows)
+    distinct = lambda x: len({tuple(r["pieces"]) for r in x})
+    assert distinct(r for r in rows if r["doc_id"] is not None and r["doc_id"] < 1000) > 20
+    assert distinct(r for r in rows if r["doc_id"] == 1000) > 20
+    # within one document as well
+    one = merge_dropout.Encoder(tokenizer(PIECE_BPE), 0.3).encode(" ".join([word] * 200), 5).tolist()
+    assert len({tuple(x) for x in split_at_marks(m, one)}) > 20
+    # two characters are one decision, so nine in ten are merged
+    got = merge_dropout.Encoder(tokenizer(PIECE_BPE), 0.1).encode(" ".join(["a"] * 20_000), 5).tolist()
+    assert np.mean([len(x) == 1 for x in split_at_marks(m, got)]) == pytest.approx(0.9, abs=0.01)
+
+
+def split_at_marks(m, ids):
+    out = []
+    for i in ids:
+        if m.text[i][:1] == b" ":
+            out.append([])
+        out[-1].append(i)
+    return out
+
+
+def test_masks_and_keys_give_the_same_pieces():
+    m, rng = merge_dropout.pieces(tokenizer(PIECE_BPE)), random.Random(6)
+    units = ["".join(rng.choice("▁theinga.,é中") for _ in range(rng.randrange(1, merge_dropout.SHORT + 1))) for _ in range(2000)]
+    keys = np.random.default_rng(1).integers(0, 1 << 64, len(units), dtype=np.uint64)
+    for drop in (0, 0.1, 0.5, 1):
+        bar = int(drop * 2**32)
+        masks = merge_dropout.skip_masks(keys, np.array([len(u) for u in units]), bar)
+        for a, b in zip(m.encode_keyed(units, np.arange(2000), masks, None), m.encode_keyed(units, np.arange(2000), keys, bar)):
+            assert a.tolist() == b.tolist()
+
+
 def test_encode_rows(spark):
     df = spark.createDataFrame([(1, "a b", 3), (1, "a b", 3), (None, None, 3), (2, "", 3), (3, "ü▁ " * 30_000, 3)], "doc_id long, text string, pieces int")
     got = merge_dropout.encode(df, tokenizer(PIECE_BPE)).collect()
