@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from telestream.llm import merge_dropout, minhash_tensor, quality_crf, quality_rules, source_schedule
@@ -32,16 +32,18 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that sources meet their targets: a document
     stands as often as the whole times the mix takes it, and once more if the part that
     is left is half of it or more."""
-    mixed, _ = source_schedule.schedule(docs)
+    keyed = Workspace(spark, "mix").table(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    mixed, _ = source_schedule.schedule(keyed, key="_row")
     times = F.round(F.col("taken") / F.col("size")).cast("int")
-    often = mixed.filter("size > 0 AND taken > 0 AND doc_id IS NOT NULL").select("doc_id", times.alias("times")).filter("times > 0")
-    often = often.dropDuplicates(["doc_id"])
-    return docs.join(often, "doc_id").withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+    often = mixed.filter("size > 0 AND taken > 0").select("_row", times.alias("times")).filter("times > 0")
+    return keyed.join(often, "_row").withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of each document that the mix holds."""
-    return merge_dropout.encode(docs, tokenizer(PIECE_BPE))
+    """The piece ids of each document that the mix holds; copies are cut on their own."""
+    same = Window.partitionBy("doc_id", "_text").orderBy("doc_id")
+    docs = docs.withColumn("_text", F.md5("text")).withColumn("again", F.row_number().over(same))
+    return merge_dropout.encode(docs, tokenizer(PIECE_BPE), occurrence="again")
 
 
 STAGES = [("quality classifier", classify), ("quality rules", rules), ("near-duplicates", distinct), ("source mix", mix), ("pieces", pieces)]

@@ -194,6 +194,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def keep(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, with all its columns; rows with a null id stay."""
-    gone = near_duplicates(docs, width, percent).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group, with all its columns: that of the smallest id, a null id after
+    all others. Rows are told apart by a key of their own, so that repeated and null ids
+    neither take other rows with them nor stay as copies."""
+    keyed = Workspace(docs.sparkSession, "minhash-keep").table(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), width, percent)
+    placed = keyed.select("_row", "doc_id").join(found.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first"))
+    return keyed.join(first.select("first._row"), "_row", "left_semi").select(*docs.columns)

@@ -58,10 +58,12 @@ def running(ws: Workspace, df: DataFrame, key: str, order: list[str], part: str,
     return within.join(base, [key, part]).withColumn(out, F.col("_base") + F.col("_in")).drop("_base", "_in")
 
 
-def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int = 128, seed: str = "mix", most: float = 3.0) -> tuple[DataFrame, DataFrame]:
-    """(documents with their take, slots): the slots are (slot, source_no, block)."""
+def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int = 128, seed: str = "mix", most: float = 3.0, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(documents with their take, slots): the slots are (slot, source_no, block). A column
+    ``key`` that tells rows apart is handed on."""
+    own = [key] if key else []
     spark, ws = docs.sparkSession, Workspace(docs.sparkSession, "schedule")
-    rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit("")))).alias("place"), F.md5(F.coalesce("text", F.lit(""))).alias("tie"))
+    rows = docs.select(*own, "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit("")))).alias("place"), F.md5(F.coalesce("text", F.lit(""))).alias("tie"))
     rows = ws.table(rows, "sizes")
     per = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     # the order of code points is that of UTF-8 bytes
@@ -79,7 +81,7 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int
         plan.append((i, r["source"], sizes[i], float(goal[i]), blocks[i], *bound, max(1, r["n"] // CHUNK)))
     plan = spark.createDataFrame(plan, "source_no int, source string, source_size long, target double, blocks long, low long, high long, parts long")
     # one row per source: bounded by the sources' number, which adaptive execution checks before it broadcasts
-    docs_in = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select("doc_id", "size", "place", "tie", plan["source_no"], "source_size", "target", "blocks", "parts")
+    docs_in = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select(*own, "doc_id", "size", "place", "tie", plan["source_no"], "source_size", "target", "blocks", "parts")
     docs_in = docs_in.withColumn("part", F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * F.col("parts") / F.lit(1 << 32)).cast("long"))
     placed = ws.table(running(ws, docs_in, "source_no", ["place", "tie"], "part", "size", "start").withColumn("row", F.monotonically_increasing_id()), "placed")
     ids = spark.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") % MODULUS * STEP % MODULUS).alias("point"), F.floor(F.col("id") / CHUNK).cast("long").alias("part"))
@@ -99,5 +101,5 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int
     pieces = placed.filter("size > 0").select("row", "source_no", "start", "size", "source_size", "blocks", F.explode(F.sequence(first, last)).alias("block"))
     pieces = pieces.withColumn("words", F.expr("least(start + size, (block + 1) * source_size div blocks) - greatest(start, block * source_size div blocks)")).filter("words > 0")
     takes = pieces.select("row", "source_no", "block", "words").join(times, ["source_no", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = placed.join(takes, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source_no", "start")
+    out = placed.join(takes, "row", "left").select(*own, "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source_no", "start")
     return out, taken

@@ -153,3 +153,28 @@ def test_pipeline_stages(spark, tmp_path):
     out = cp.run(spark, d).collect()
     assert len(out) == e.count() and all(r["lossless"] for r in out)
     assert cp.pieces(spark, docs.limit(0), d).count() == 0 and cp.mix(spark, docs.limit(0), d).count() == 0
+
+
+def test_pipeline_keeps_rows_with_null_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rng = random.Random(11)
+    text = lambda: " ".join(rng.choice("abcdefgh") + str(rng.randrange(300)) for _ in range(60))
+    texts = [text() for _ in range(8)]
+    # an id on a copy of a smaller id's text and on a text of its own, equal rows, null ids
+    rows = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[2]), (None, texts[0]), (None, texts[3]), (None, texts[3]), (None, texts[4])]
+    rows += [(4, texts[5]), (4, texts[6] + " " + texts[6]), (5, texts[7])]
+    df = spark.createDataFrame([(i, t, "en", None if t == texts[4] else "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.distinct(spark, df, "").collect()
+    assert sorted(r["text"] for r in kept) == sorted({t for _, t in rows})
+    assert {r["doc_id"] for r in kept if r["text"] == texts[0]} == {1}
+    df = spark.createDataFrame(kept, df.schema).coalesce(1)
+    mixed = cp.mix(spark, df, "").collect()
+    keyed = df.withColumn("k", F.col("text"))
+    want = {r["k"]: int(r["taken"] / r["size"] + 0.5) for r in source_schedule.schedule(keyed, key="k")[0].collect()}
+    assert {t: n for t, n in want.items() if n} == {t: sum(r["text"] == t for r in mixed) for t in {r["text"] for r in mixed}}
+    assert any(r["doc_id"] is None for r in mixed)
+    # copies that the mix makes are cut on their own
+    twice = df.filter("text = '" + texts[5] + "'")
+    out = cp.pieces(spark, twice.unionByName(twice), "").collect()
+    assert len(out) == 2 and all(r["lossless"] for r in out) and out[0]["pieces"] != out[1]["pieces"]
