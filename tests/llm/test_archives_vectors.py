@@ -93,7 +93,7 @@ def test_vectors_match_brute_force(spark):
     made = [[float(x) for x in centres[i % 25] + rng.standard_normal(16) * (0.05 if i % 5 else 1)] for i in range(150)]
     made += [made[0], made[0], [0.0] * 16, None, [float("nan")] * 16, [None] * 16, [1.0] * 3, [float("inf")] * 16, []]
     df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(made)], "vec_id long, embedding array<float>, id int")
-    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in sorted_passes.near_duplicates(df, window=8, block=16).collect()}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in sorted_passes.near_duplicates(df, window=2).collect()}
     made = [None if v is None else [None if x is None else float(np.float32(x)) for x in v] for v in made]
     assert [got[i] for i in range(len(made))] == by_force(made, 0.95)
 
@@ -104,3 +104,76 @@ def test_vector_edges(spark):
     same = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0]), (None, [1.0, 2.0]), (3, None)], "vec_id long, embedding array<float>")
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in sorted_passes.near_duplicates(same).collect()}
     assert got == {1: (1, 1, True), 2: (1, 1, False), None: (0, None, True), 3: (0, 3, True)}
+
+
+def crowded_cone(n, seed=5):
+    """Vectors around one direction, most pairs of which are a little too far apart, with planted links."""
+    rng = np.random.default_rng(seed)
+    axis = rng.standard_normal(32)
+    axis /= np.linalg.norm(axis)
+    made = []
+    for i in range(n):
+        r = rng.standard_normal(32)
+        r -= (r @ axis) * axis
+        made.append(np.sqrt(0.9) * axis + np.sqrt(0.1) * r / np.linalg.norm(r))
+    for i in range(0, n // 10, 2):
+        made[i + 1] = made[i] + 0.02 * rng.standard_normal(32)
+    return [[float(np.float32(v)) for v in x] for x in made]
+
+
+def test_every_length_links(spark):
+    made = [[1.0, 2.0, 0.0]] * 5 + [[1.0, 2.0], [1.0, 2.0], [2.0, 4.0], [3.0], [-3.0], [6.0]]
+    df = spark.createDataFrame(list(enumerate(made)), "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in sorted_passes.near_duplicates(df).collect()}
+    assert [got[i] for i in range(len(made))] == by_force(made, 0.95)
+
+
+def test_an_id_on_several_vectors(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0])], "vec_id long, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in sorted_passes.near_duplicates(df).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
+def test_passes_of_a_crowded_region_find_what_brute_force_finds(spark):
+    """Small windows force real passes; marked rows get more of them or are compared whole."""
+    rng = np.random.default_rng(6)
+    made = crowded_cone(400) + [[float(np.float32(v)) for v in rng.standard_normal(32)] for _ in range(800)]
+    for i in range(400, 440, 2):
+        made[i + 1] = [float(np.float32(v + 0.1 * rng.standard_normal())) for v in made[i]]
+    df = spark.createDataFrame(list(enumerate(made)), "vec_id long, embedding array<float>")
+    x = np.array(made)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = (x @ x.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    got = {r["vec_id"]: r["n_links"] for r in sorted_passes.near_duplicates(df, window=4).collect()}
+    found = sum(min(got[i], int(near[i].sum())) for i in range(len(made)))
+    assert all(got[i] <= near[i].sum() for i in range(len(made))) and found >= 0.98 * near.sum() > 0
+
+
+def test_passes_grow_with_the_rows():
+    k = [sorted_passes.passes_for(n, 64, 0.95, 0.002) for n in (10**4, 10**6, 10**8, 10**9)]
+    assert k == sorted(k) and 10 < k[0] < k[-1] < 150
+    # simulated: pairs at the threshold among evenly spread rows, one window per pass
+    rng = np.random.default_rng(7)
+    n, d, window = 20_000, 24, 16
+    x = rng.standard_normal((n, d))
+    for i in range(0, 400, 2):
+        u = x[i] / np.linalg.norm(x[i])
+        r = rng.standard_normal(d)
+        r -= (r @ u) * u
+        x[i + 1] = 0.951 * u + np.sqrt(1 - 0.951**2) * r / np.linalg.norm(r)
+    found = np.zeros(200, bool)
+    for p in range(sorted_passes.passes_for(n, window, 0.95, 0.002)):
+        place = np.empty(n, int)
+        place[np.argsort(sorted_passes.keys_of(x, 1, p), kind="stable")] = np.arange(n)
+        found |= np.abs(place[0:400:2] - place[1:400:2]) <= window
+    assert found.mean() >= 0.985
+
+
+def test_rounded_forms_bound_the_product():
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((200, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    q, scale, rest = sorted_passes.rounded(x)
+    y = q * scale[:, None]
+    bound = rest[:, None] * (1 + rest[None, :]) + rest[None, :] + sorted_passes.SLACK
+    assert (np.abs(y @ y.T - x @ x.T) <= bound).all()
