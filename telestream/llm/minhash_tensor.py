@@ -7,13 +7,17 @@ combines one group of the first with one of the second, so that GROUPS * GROUPS
 1. Documents with equal shingle sets are one node; only one of them is compared.
 2. Each table's bucket links its nodes to one of them: candidates, linear in the bucket.
 3. Candidates are confirmed on whole shingle sets; confirmed links are united.
-4. Nodes that candidates connect form clusters. In a cluster that confirmed links leave in
-   several parts, pairs across parts that share a table key are compared as well, in
-   blocks of ``BLOCK`` nodes, on whole sets; nothing is capped. A block task returns at
-   most one link per node, and pairs whose parts are already joined are not compared.
+4. A bucket whose nodes confirmed links leave in several parts is open. Its pairs across
+   parts are compared as well, ``BLOCK`` nodes against as many at a time, in the first
+   table whose key they share: first by sketches (16 bits of each minhash), which leave
+   only nodes that may have a partner; their whole sets are then compared. Nothing is
+   capped. A block returns at most one link per node, and pairs whose parts it has already
+   joined are not compared.
 5. Links are united again; a document's component is named by its smallest doc_id.
 
-With 8 groups of 3 rows, a pair at similarity 0.85 shares a key with probability 0.999.
+With 8 groups of 3 rows, a pair at similarity 0.85 shares a key with probability 0.999, at
+0.80 with 0.994; a sketch turns away a pair at the threshold with probability 4e-6. Sets
+are compared as 64-bit digests of their shingles, whole sets as 128-bit ones.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z is lower-cased. A text with fewer words than a
 shingle has one shingle, the whole sequence; null texts and texts without words have an
@@ -77,8 +81,9 @@ def shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """2 * GROUPS group values per set (of sets that are not empty)."""
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """2 * GROUPS group values, and the low 16 bits of each minhash, per set (of sets that
+    are not empty)."""
     flat = np.concatenate(sets)
     begin = np.r_[0, np.cumsum([len(s) for s in sets])][:-1]
     least = np.stack([np.minimum.reduceat(mix(flat * f), begin) if len(flat) else flat for f in _FACTORS], axis=1)
@@ -86,7 +91,13 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     h = np.full(groups.shape[:2], np.uint64(1))
     for k in range(ROWS):
         h = mix(h * np.uint64(0x9E3779B97F4A7C15) + groups[:, :, k])
-    return h
+    return h, least.astype("<u2")
+
+
+def least_equal(percent: int) -> int:
+    """The equal minhashes that a pair at the threshold has, less 4.5 standard deviations."""
+    n, p = 2 * GROUPS * ROWS, percent / 100
+    return int(n * p - 4.5 * (n * p * (1 - p)) ** 0.5)
 
 
 def node_of(s: np.ndarray) -> bytes | None:
@@ -96,8 +107,15 @@ def node_of(s: np.ndarray) -> bytes | None:
 def _sign(b: pa.RecordBatch, width: int) -> dict:
     sets = shingles(blobs(b.column("text")), width)
     full = [s for s in sets if len(s)]
-    sig = iter(signatures(full).view(np.int64)) if full else iter(())
-    return {"id": b.column("id"), "n_shingles": [len(s) for s in sets], "node": [node_of(s) for s in sets], "groups": int_lists([next(sig) if len(s) else np.empty(0, np.int64) for s in sets])}
+    groups, mins = signatures(full) if full else ((), ())
+    sig, low = iter(groups), iter(mins)
+    return {
+        "id": b.column("id"),
+        "n_shingles": [len(s) for s in sets],
+        "node": [node_of(s) for s in sets],
+        "groups": int_lists([next(sig).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]),
+        "mins": [next(low).tobytes() if len(s) else None for s in sets],
+    }
 
 
 def _sets(b: pa.RecordBatch, width: int) -> dict:
@@ -105,34 +123,55 @@ def _sets(b: pa.RecordBatch, width: int) -> dict:
     return {"node": [node_of(s) for s in sets], "items": int_lists([s.view(np.int64) for s in sets])}
 
 
+class Block:
+    """The nodes of one task: block i of a bucket against block j."""
+
+    def __init__(self, table: pa.Table, i: int, j: int, percent: int):
+        own = np.asarray(table.column("own"))
+        number: dict = {}
+        self.parts = np.array([number.setdefault(p, len(number)) for p in table.column("part").to_pylist()], np.int64)
+        self.forest = Forest(len(number))
+        self.groups = np.stack([np.asarray(v.values) for v in table.column("groups")])
+        self.mins = np.frombuffer(b"".join(table.column("mins").to_pylist()), "<u2").reshape(len(own), -1)
+        self.place, self.bar = int(table.column("place")[0].as_py()), least_equal(percent)
+        self.left, self.right, self.same = np.flatnonzero(own == i), np.flatnonzero(own == j), i == j
+
+    def partners(self, x: int) -> np.ndarray:
+        """Nodes that x is to be compared with here: of another part, with a sketch that is
+        near, and no table before this one in which both share a key."""
+        y = self.right[self.right > x] if self.same else self.right
+        up = self.forest.roots()[self.parts]
+        y = y[up[y] != up[x]]
+        y = y[(self.mins[y] == self.mins[x]).sum(axis=1) >= self.bar]
+        same = self.groups[y] == self.groups[x]
+        return y[same[:, :GROUPS].argmax(axis=1) * GROUPS + same[:, GROUPS:].argmax(axis=1) == self.place]
+
+
+def _hopeful(table: pa.Table, i: int, j: int, percent: int) -> pa.Table:
+    """The rows that have a partner."""
+    block, keep = Block(table, i, j, percent), np.zeros(len(table), bool)
+    for x in block.left.tolist():
+        y = block.partners(x)
+        keep[y] = True
+        keep[x] |= len(y) > 0
+    return table.filter(pa.array(keep))
+
+
 def _compare(table: pa.Table, i: int, j: int, percent: int) -> list[tuple[bytes, bytes]]:
-    """Links between blocks i and j of a cluster: a spanning forest over their parts."""
-    own, node, part = np.asarray(table.column("own")), table.column("node").to_pylist(), table.column("part").to_pylist()
-    items = [np.asarray(v.values).view(np.uint64) if v.is_valid else np.empty(0, np.uint64) for v in table.column("items")]
-    items = [np.sort(v) for v in items]
-    groups = np.stack([np.asarray(v.values) for v in table.column("groups")])
+    """Links between blocks i and j of a bucket: a spanning forest over their parts."""
+    block, node, out = Block(table, i, j, percent), table.column("node").to_pylist(), []
+    items = [np.sort(np.asarray(v.values).view(np.uint64)) for v in table.column("items")]
     sizes = np.array([len(v) for v in items], np.int64)
-    number = {p: k for k, p in enumerate(dict.fromkeys(part))}
-    forest, out = Forest(len(number)), []
-    parts = np.array([number[p] for p in part])
-    right = np.flatnonzero(own == j)
-    flat = np.concatenate([items[y] for y in right]) if len(right) else np.empty(0, np.uint64)
-    begin = np.r_[0, np.cumsum(sizes[right])][:-1]
-    for x in np.flatnonzero(own == i):
-        roots = np.array([forest.root(p) for p in range(len(number))])[parts]
-        y = right[roots[right] != roots[x]]
-        y = y[(100 * np.minimum(sizes[y], sizes[x]) >= percent * np.maximum(sizes[y], sizes[x]))] if len(y) else y
-        if len(y):
-            same = groups[y] == groups[x]
-            y = y[same[:, :GROUPS].any(axis=1) & same[:, GROUPS:].any(axis=1)]
+    for x in block.left.tolist():
+        y = block.partners(x)
+        y = y[100 * np.minimum(sizes[y], sizes[x]) >= percent * np.maximum(sizes[y], sizes[x])]
         if not len(y):
             continue
-        at = np.searchsorted(items[x], flat)
+        at = np.searchsorted(items[x], flat := np.concatenate([items[k] for k in y]))
         hit = items[x][np.minimum(at, sizes[x] - 1)] == flat
-        common = dict(zip(right.tolist(), np.add.reduceat(hit, begin).tolist()))
-        for k in y.tolist():
-            both = common[k]
-            if 100 * both >= percent * (sizes[x] + sizes[k] - both) and forest.join(int(parts[x]), int(parts[k])):
+        both = np.add.reduceat(hit, np.cumsum(sizes[y]) - sizes[y])
+        for k in y[100 * both >= percent * (sizes[x] + sizes[y] - both)].tolist():
+            if block.forest.join(int(block.parts[x]), int(block.parts[k])):
                 out.append((node[x], node[k]))
     return out
 
@@ -143,46 +182,49 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ws = Workspace(docs.sparkSession, "minhash")
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").alias("id"), "text")
-    signed = ws.table(map_rows(rows, f"id {kind}, n_shingles long, node binary, groups array<long>", lambda b: _sign(b, width), "text"), "signed")
-    nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n"), F.min("groups").alias("groups"))
+    signed = ws.table(map_rows(rows, f"id {kind}, n_shingles long, node binary, groups array<long>, mins binary", lambda b: _sign(b, width), "text"), "signed")
+    nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n"), F.min("groups").alias("groups"), F.min("mins").alias("mins"))
     nodes = ws.table(nodes, "nodes")
     pairs = [F.xxhash64(F.lit(i), F.lit(j), F.col("groups")[i], F.col("groups")[GROUPS + j]) for i in range(GROUPS) for j in range(GROUPS)]
     keys = nodes.select("node", F.explode(F.array(*pairs)).alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head <> last").select("key", "head")
     buckets = ws.table(buckets, "buckets")
-    candidates = keys.join(buckets, "key").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    held = ws.table(keys.join(buckets, "key"), "held")
+    candidates = held.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     candidates = ws.table(candidates, "candidates")
     wanted = ws.table(candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct(), "wanted")
     # whole sets of the candidates only, from one row for each
-    picked = nodes.join(wanted, "node", "left_semi").select("id", F.col("node").alias("want"), "groups")
-    named = rows.join(picked, "id").select("text", "want", "groups")
+    picked = nodes.join(wanted, "node", "left_semi").select("id", F.col("node").alias("want"))
+    named = rows.join(picked, "id").select("text", "want")
 
     def whole(b: pa.RecordBatch) -> dict:
         made = _sets(b, width)
         ok = [w == n for w, n in zip(b.column("want").to_pylist(), made["node"])]
         keep = pa.array([k for k, v in enumerate(ok) if v], pa.int64())
-        return {"node": pa.array(made["node"], pa.binary()).take(keep), "items": made["items"].take(keep), "groups": b.column("groups").take(keep)}
+        return {"node": pa.array(made["node"], pa.binary()).take(keep), "items": made["items"].take(keep)}
 
-    sets = ws.table(map_rows(named, "node binary, items array<long>, groups array<long>", whole, "text").dropDuplicates(["node"]), "sets")
+    sets = ws.table(map_rows(named, "node binary, items array<long>", whole, "text").dropDuplicates(["node"]), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = candidates.join(left, "a").join(right, "b")
     both = both.withColumn("n", F.size(F.array_intersect("x", "y"))).filter(100 * F.col("n") >= percent * (F.size("x") + F.size("y") - F.col("n")))
     links = ws.table(both.select("a", "b"), "links")
-    clusters = components(ws, candidates).withColumnRenamed("root", "cluster")
-    parts = components(ws, links).withColumnRenamed("root", "part")
-    placed = ws.table(clusters.join(parts, "node", "left").select("node", "cluster", F.coalesce("part", "node").alias("part")), "placed")
-    open_ = placed.groupBy("cluster").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("k")).filter("p <> q").select("cluster", "k")
-    open_ = ws.table(open_, "open")
-    rest = placed.join(open_, "cluster").join(sets, "node").withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+    parts = ws.table(wanted.join(components(ws, links).withColumnRenamed("root", "part"), "node", "left").select("node", F.coalesce("part", "node").alias("part")), "parts")
+    placed = ws.table(held.select("key", "node").join(parts, "node"), "placed")
+    open_ = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("k")).filter("p <> q")
+    open_ = ws.table(open_.select("key", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")), "open")
+    rest = placed.join(open_, "key").join(nodes.select("node", "groups", "mins"), "node")
+    rest = rest.withColumn("place", F.array_position(F.array(*pairs), F.col("key")) - 1)
     rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "part", "items", "groups")
+    rest = rest.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "part", "place", "groups", "mins")
+    hopeful = rest.groupBy("key", "i", "j").applyInArrow(lambda key, t: _hopeful(t, key[1].as_py(), key[2].as_py(), percent), rest.schema)
+    hopeful = ws.table(hopeful, "hopeful").join(sets, "node")
 
     def compare(key, table):
         found = _compare(table, key[1].as_py(), key[2].as_py(), percent)
         return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
 
-    more = ws.table(rest.groupBy("cluster", "i", "j").applyInArrow(compare, "a binary, b binary"), "more")
+    more = ws.table(hopeful.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary"), "more")
     roots = ws.table(components(ws, links.unionByName(more)), "roots")
     of_node = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     of_node = ws.table(of_node, "of-node")

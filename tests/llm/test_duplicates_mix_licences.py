@@ -60,6 +60,36 @@ def test_near_duplicates_match_brute_force(spark):
     assert kept.columns == df.columns and kept.count() == len(set(components_by_force([shingle_set(t, 5) for t in texts], 80)))
 
 
+def test_open_buckets_of_a_template_are_compared_in_blocks(spark, monkeypatch):
+    """Texts of one template at a similarity below the threshold share many keys; links
+    between them that no bucket's head takes part in are found block by block."""
+    monkeypatch.setattr(minhash_tensor, "BLOCK", 4)
+    rng = random.Random(12)
+    frame = [f"t{i}" for i in range(100)]
+    texts = []
+    for _ in range(25):
+        own = [f"x{rng.randrange(10**9)}" for _ in range(22)]
+        texts += [" ".join(frame + own), " ".join(frame + own[:-1] + [f"y{rng.randrange(10**9)}"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash_tensor.near_duplicates(df, 3, 85).collect()}
+    want = components_by_force([shingle_set(t, 3) for t in texts], 85)
+    assert [got[i] for i in range(len(texts))] == want and len(set(want)) == 25
+
+
+def test_sketches_let_pairs_at_the_threshold_pass():
+    rng = np.random.default_rng(13)
+    for percent in (80, 85):
+        low = 100
+        for _ in range(200):
+            n = 400
+            both = int(round(n * 2 * percent / (100 + percent)))
+            x = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            y = np.concatenate([x[:both], rng.integers(0, 1 << 63, n - both, dtype=np.uint64)])
+            _, mins = minhash_tensor.signatures([np.unique(x), np.unique(y)])
+            low = min(low, int((mins[0] == mins[1]).sum()))
+        assert minhash_tensor.least_equal(percent) <= low
+
+
 def test_near_duplicate_edges(spark):
     rows = [(None, "x y z"), (3, "x y z"), (3, "x y z"), (None, None), (9, "long " * 30_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
