@@ -155,13 +155,104 @@ def test_forward_backward_matches_enumeration():
     assert np.allclose(first, f) and np.allclose(moves, m) and np.allclose(emits, e)
 
 
+def test_chunks_of_a_long_text_give_the_same_counts():
+    rng = np.random.default_rng(3)
+    s, c, n = 4, 7, 2999
+    start, move, emit = rng.dirichlet(np.ones(s)), rng.dirichlet(np.ones(s), s), rng.dirichlet(np.ones(c), s).T
+    seq = rng.integers(0, c, n).astype("<u2")
+    want, counts = hmm_scores.forward_backward([seq], start, move, emit, True)
+    for width in (7, 64, 1500):
+        got, found = hmm_scores.long_recursions(seq, start, move, emit, True, width)
+        assert got == pytest.approx(want[0], rel=1e-10)
+        assert all(np.allclose(a, b) for a, b in zip(counts, found))
+        assert hmm_scores.long_recursions(seq, start, move, emit, False, width)[0] == pytest.approx(want[0], rel=1e-10)
+
+
+def test_single_precision_counts_are_near():
+    rng = np.random.default_rng(4)
+    start, move, emit = rng.dirichlet(np.ones(8)), rng.dirichlet(np.ones(8), 8), rng.dirichlet(np.ones(3000), 8).T
+    seqs = [rng.integers(0, 3000, k).astype("<u2") for k in (1, 5, 400, 3000)]
+    a = hmm_scores.forward_backward(seqs, start, move, emit, True)
+    b = hmm_scores.forward_backward(seqs, start, move, emit.astype(np.float32), True)
+    assert np.allclose(a[0], b[0], rtol=1e-6) and all(np.allclose(x, y, atol=1e-3) for x, y in zip(a[1], b[1]))
+
+
+def test_a_long_text_is_scored(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "of the house " * 400_000), (2, "of the house"), (3, None)], "doc_id long, text string")
+    t = time.time()
+    got = {r["doc_id"]: r for r in hmm_scores.score(df, hmm_scores.Plan(states=4, own=10, shapes=8), fold=None).collect()}
+    assert got[1]["n_tokens"] == 1_200_001 and got[1]["score"] < 0 and time.time() - t < 120
+
+
+def test_what_is_broadcast_changes_no_score(spark):
+    rng = random.Random(14)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rng.choice(words[: 10 + 30 * (i % 2)]) for _ in range(20))) for i in range(60)] + [(100 + i, "a b c d e f") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    score = lambda near: {r["doc_id"]: (r["score"], r["base_score"], r["n_known"]) for r in hmm_scores.score(df, hmm_scores.Plan(states=2, own=3, shapes=8, near=near, few_texts=50)).collect()}
+    a, b, c = score(0), score(4), score(1000)
+    assert all(a[i] == pytest.approx(c[i], rel=1e-9) and b[i] == pytest.approx(c[i], rel=1e-9) for i in c)
+
+
+def test_scores_are_the_model_s_probabilities(spark):
+    """Over all words and the end, what follows a word sums to one: the score of a text is
+    exact, held against the recursion by hand over every word of a tiny vocabulary."""
+    rows = [(i, " ".join(random.Random(i).choice("aabbbcd") for _ in range(6))) for i in range(50)]
+    df = spark.createDataFrame(rows + [(900, "a"), (901, "b"), (902, "c"), (903, "d"), (904, ""), (905, "new")], "doc_id long, text string")
+    plan = hmm_scores.Plan(states=2, own=2, shapes=4, few_texts=10, rounds=2)
+    train = df.filter("doc_id < 50")
+    seen = {}
+
+    def spy(ws, hmm, learn, texts, plan, real=hmm_scores.train):
+        real(ws, hmm, learn, texts, plan)
+        seen["hmm"] = hmm
+        return []
+
+    old, hmm_scores.train = hmm_scores.train, spy
+    try:
+        got = {r["doc_id"]: r["score"] for r in hmm_scores.score(train.unionByName(df.filter("doc_id >= 900").withColumn("doc_id", df.doc_id)), plan, fold=None).collect()}
+    finally:
+        hmm_scores.train = old
+    h = seen["hmm"]
+    assert h.emit.sum(axis=0) == pytest.approx(1) and h.move.sum(axis=1) == pytest.approx(1) and h.start.sum() == pytest.approx(1)
+    from collections import Counter
+
+    counts = Counter(w for _, t in [*rows, (0, "a"), (0, "b"), (0, "c"), (0, "d"), (0, "new")] for w in t.split())
+    own = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:2]]
+    rest = {w: hmm_scores.shape(w.encode(), 4) for w in counts if w not in own}
+    size = Counter()
+    for w, k in rest.items():
+        size[k] += counts[w]
+    kinds = Counter(rest.values())
+
+    def force(text):
+        p, log = h.start, 0.0
+        for w in [*text.split(), None]:
+            if w is None:
+                k, inside = 4 + len(own), 1.0
+            elif w in own:
+                k, inside = 4 + own.index(w), 1.0
+            else:
+                k = hmm_scores.shape(w.encode(), 4)
+                inside = (counts[w] + 0.1) / (size[k] + 0.1 * (kinds[k] + 1))
+            a = p * h.emit[k]
+            log += np.log10(a.sum() * inside)
+            p = a / a.sum() @ h.move
+        return log
+
+    for i, t in [*rows, (900, "a"), (902, "c"), (904, ""), (905, "new")]:
+        assert got[i] == pytest.approx(force(t), rel=1e-9)
+
+
 def test_training_never_lowers_the_likelihood():
     rng = np.random.default_rng(2)
     seqs = [np.array((rng.integers(0, 3, 30) if i % 2 else rng.integers(3, 6, 30)), "<u2") for i in range(40)]
     h = hmm_scores.Hmm(2, np.ones(6), 1)
     before = h.log10(seqs).sum()
     for _ in range(15):
-        h.update(*h.expect(seqs))
+        h.update(*h.expect(seqs)[1])
     assert h.log10(seqs).sum() > before + 100
 
 
@@ -189,7 +280,7 @@ def test_scores_of_a_small_corpus(spark):
     rows = [(i, " ".join(rng.choice(two[i % 2]) for _ in range(30)) + (f" rare{i}" if i % 4 == 0 else "")) for i in range(120)]
     rows += [(500, None), (501, ""), (None, "the THE Über"), (502, "new " * 40), (502, "new " * 40), (503, "of " * 30_000)]
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, n int, word string")
-    plan = hmm_scores.Plan(states=2, own=6, shapes=8, near=20, sample=50)
+    plan = hmm_scores.Plan(states=2, own=6, shapes=8, near=20, few_texts=50)
     got = hmm_scores.score(df, plan).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[2])
     for g, w in zip(sorted(map(tuple, got), key=key), sorted(base_by_force(rows), key=key)):
