@@ -61,7 +61,7 @@ def language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def license_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    _, out = license_model.scan(docs, license_model.train(docs))
+    _, out = license_model.scan(docs, license_model.train())
     return out.select("doc_id", "license", "probability", "similarity", "n_paragraphs")
 
 
