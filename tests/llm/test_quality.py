@@ -1,6 +1,7 @@
 """Quality rules and the line classifier against brute force and by held-out accuracy."""
 
 import itertools
+import os
 import random
 
 import numpy as np
@@ -122,3 +123,45 @@ def test_classifier_edges(spark):
 def test_one_class_is_enough_to_fit(labels):
     m = quality_crf.fit([quality_crf.describe(b"A line.\nAnother.")] * 5, np.array(labels))
     assert (m.scores([quality_crf.describe(b"A line.")])[0] > 0.5) == bool(labels[0])
+
+
+def test_gradients_are_those_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    lengths, weight, labels = np.array([3, 1, 5, 2]), rng.uniform(1, 9, 11), np.array([1, 0, 0, 1])
+    unary, pair = rng.normal(size=11), rng.normal(size=(2, 2))
+    value, g, h = quality_crf.ascent(unary, pair, lengths, weight, labels, 1e-3)
+    at = lambda u, p: quality_crf.ascent(u, p, lengths, weight, labels)[0]
+    for i in range(11):
+        d = np.eye(11)[i] * 1e-5
+        assert g[i] == pytest.approx((at(unary + d, pair) - at(unary - d, pair)) / 2e-5, abs=1e-6)
+    for a, b in itertools.product((0, 1), repeat=2):
+        d = np.zeros((2, 2))
+        d[a, b] = 1e-5
+        assert h[a, b] == pytest.approx((at(unary, pair + d) - at(unary, pair - d)) / 2e-5, abs=1e-6)
+    assert value < 0
+
+
+def test_lines_of_a_document_get_labels_of_their_own():
+    """Documents are labelled as a whole; their lines are told apart all the same."""
+    rng = random.Random(6)
+    fine = lambda: " ".join(rng.choice("the of and house river stone light winter".split()) for _ in range(9)).capitalize() + "."
+    junk = lambda: " ".join(w + "###" for w in fine().upper().split())
+    texts, labels = [], []
+    for i in range(400):
+        bad = rng.randrange(0, 3) if i % 2 else rng.randrange(6, 10)
+        texts.append("\n".join([junk() if k < bad else fine() for k in range(10)]))
+        labels.append(int(i % 2))
+    model = quality_crf.fit([quality_crf.describe(t.encode()) for t in texts], np.array(labels))
+    p = model.lines("\n".join([fine(), fine(), fine(), junk(), junk(), junk(), fine(), fine()]))
+    assert min(p[i] for i in (0, 1, 2, 6, 7)) > max(p[3:6]) + 0.3
+    assert model.pair[0, 0] + model.pair[1, 1] > model.pair[0, 1] + model.pair[1, 0]
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/labels.parquet"), reason="needs the supplied tables")
+def test_held_out_area_under_the_curve(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    scored = quality_crf.score(docs, quality_crf.train(docs, labels)).filter(quality_crf.sample_fold() == 2)
+    got = scored.join(labels, "doc_id").select("score", "quality").collect()
+    good, bad = ([r["score"] for r in got if r["quality"] == k] for k in (1, 0))
+    auc = np.mean([(a > b) + (a == b) / 2 for a in good for b in bad])
+    assert len(bad) >= 5 and auc >= 0.95 and np.mean([a >= 0.7 for a in good]) >= 0.95
