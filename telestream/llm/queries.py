@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from . import hmm_scores, license_model, merge_dropout, minhash_tensor, quality_crf, quality_rules, sorted_passes, source_schedule, token_counts, warc_zip
 
+from .common import Workspace
+
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
@@ -43,7 +45,12 @@ def quality_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
+    """The rows arrive in two deliveries, by the parity of their id's hash: the counts of the
+    first are stored, and the whole table then meets them."""
+    docs = table(spark, sf_dir, "documents")
+    cache = f"{Workspace(spark, 'token-cache').path}/counts"
+    token_counts.count_tokens(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), tokenizer(BYTE_BPE), cache)
+    return token_counts.count_tokens(docs, tokenizer(BYTE_BPE), cache)
 
 
 def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,14 +39,52 @@ def test_cache_is_used_and_grows(spark, tmp_path):
     assert sorted((r["doc_id"] or 0, r["n_bytes"], r["n_tokens"]) for r in got) == sorted((i or 0, len(t or ""), count(t or "")) for i, t in rows)
     assert {r["doc_id"]: r["over_limit"] for r in got}[4]
     stored = spark.read.parquet(cache)
-    assert stored.count() == 5
+    assert stored.count() == 5 and stored.columns == ["digest", "n_tokens", "tokenizer"]
     # what is stored is believed: a changed count comes back, and nothing is encoded again
-    stored.selectExpr("digest", "tokenizer", "n_tokens + 1000 AS n_tokens").write.parquet(f"file://{tmp_path}/other")
+    stored.withColumn("n_tokens", stored.n_tokens + 1000).write.partitionBy("tokenizer").parquet(f"file://{tmp_path}/other")
     again = token_counts.count_tokens(df, tokenizer(BYTE_BPE), f"file://{tmp_path}/other").collect()
-    assert all(r["n_tokens"] >= 1000 for r in again) and spark.read.parquet(f"file://{tmp_path}/other").count() == 5
+    assert len(again) == len(rows) and all(r["n_tokens"] >= 1000 for r in again) and spark.read.parquet(f"file://{tmp_path}/other").count() == 5
+    # another tokenizer has counts of its own in the same cache; only new texts are added
+    more = df.unionByName(spark.createDataFrame([(9, "new", "d", 9)], df.schema))
+    token_counts.count_tokens(more, tokenizer(PIECE_BPE), cache).collect()
+    token_counts.count_tokens(more, tokenizer(BYTE_BPE), cache).collect()
+    by = {r["tokenizer"]: r["count"] for r in spark.read.parquet(cache).groupBy("tokenizer").count().collect()}
+    assert by == {token_counts.version(tokenizer(BYTE_BPE)): 6, token_counts.version(tokenizer(PIECE_BPE)): 6}
     assert token_counts.count_tokens(df.limit(0), tokenizer(BYTE_BPE)).count() == 0
 
 
+def test_texts_of_one_normalised_content_share_a_count(spark, tmp_path):
+    """A file with a normaliser: what it makes equal is encoded once, special strings aside."""
+    name = tokenizer("word_bpe_49k.json")
+    texts = ["Hello  World", "hello world", "HELLO\tworld", "e\u0301t\u00e9", "\u00e9te\u0301", "x <|endoftext|>", "X <|endoftext|>", "x  <|endoftext|>", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    count = token_counts.counter(name)
+    cache = f"file://{tmp_path}/c"
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, name, cache).collect()}
+    assert got == {i: count(t or "") for i, t in enumerate(texts)}
+    assert spark.read.parquet(cache).count() < len(texts) - 2
+    for t in strange(300, 4, "Aa  \t\u00e9e\u0301Zz"):
+        assert count(t) == count(t.lower()) or "\u0301" in t
+
+
+def test_only_plain_files_are_counted_by_the_faster_coder():
+    import copy
+    import json
+
+    with open(tokenizer(BYTE_BPE), encoding="utf-8") as f:
+        spec = json.load(f)
+    assert token_counts.is_plain(spec)
+    for where, key, value in (("model", "dropout", 0.1), ("model", "ignore_merges", True), ("model", "end_of_word_suffix", "</w>"), ("pre_tokenizer", "use_regex", False), ("pre_tokenizer", "add_prefix_space", True), ("pre_tokenizer", "type", "Whitespace")):
+        other = {**spec, where: {**spec[where], key: value}}
+        assert not token_counts.is_plain(other), key
+    for key in ("lstrip", "rstrip", "single_word", "normalized"):
+        assert not token_counts.is_plain({**spec, "added_tokens": [{**spec["added_tokens"][0], key: True}]})
+    assert not token_counts.is_plain({**spec, "normalizer": {"type": "NFC"}})
+    turned = copy.copy(spec["model"])
+    turned["merges"] = [*spec["model"]["merges"][1:], spec["model"]["merges"][0]]
+    assert not token_counts.is_plain({**spec, "model": turned})
+
+
 def test_segmentations_decode_losslessly():
     import sentencepiece
 
