@@ -2,14 +2,18 @@
 
 An archive is a ZIP file whose members are stored, not deflated: ``archive/data.warc.gz``
 (one gzip member per record) and ``indexes/index.cdxj`` (one line per record with the
-offset and length of its gzip member). The reader finds the members through the end
-record, its ZIP64 form and the central directory, reads the index, and fetches single
-records by range; nothing is unpacked to disk. Files are opened with pyarrow's file
-systems, so that any store they know will do, and are written under the shared folder.
-
-Null payloads are empty. Rows with a null id get records without one. Rows that repeat
-the largest id of equal payloads are all responses. Repeated rows give repeated records;
-an empty table gives no archive and an empty result.
+offset and length of its gzip member). The reader needs nothing but the archives: one task
+per archive finds the members through the end record, its ZIP64 form and the central
+directory, reads the index a stretch at a time, and deals neighbouring records out as
+ranges of bytes; the tasks that follow fetch each range with one read and cut the records
+out of it. Nothing is unpacked to disk. Files are opened with pyarrow's file systems, so
+that any store they know will do, and are written under the shared folder.
+
+Payloads count as equal if their SHA-1 is, as it is in web archives. Ids may be numbers or
+strings. Null payloads are empty. Rows with a null or empty id get records without one, and
+their id comes back as null. Rows that
+repeat the largest id of equal payloads are all responses. Repeated rows give repeated
+records; an empty table gives no archive and an empty result.
 """
 
 from __future__ import annotations
@@ -17,13 +21,13 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import io
 import json
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -35,6 +39,8 @@ from .common import Workspace, map_rows
 END, END64, LOCATOR64, ENTRY, LOCAL = 0x06054B50, 0x06064B50, 0x07064B50, 0x02014B50, 0x04034B50
 FULL32, FULL16 = 0xFFFFFFFF, 0xFFFF
 ARCHIVE_BYTES, MOST_TASKS = 64 << 20, 20_000
+#: Bytes of index read at a time, and of records in a range.
+STRETCH, RANGE_BYTES = 1 << 20, 8 << 20
 
 
 @dataclass(frozen=True)
@@ -100,20 +106,33 @@ class ZipRanges:
             yield Member(name, method, packed, offset)
             p += 46 + n_name + n_extra + n_note
 
-    def read(self, name: str, offset: int = 0, length: int | None = None) -> bytes:
-        """A range of a stored member."""
+    def start(self, name: str) -> int:
+        """Where a stored member's data begins."""
         m = self.members[name]
         if m.method:
             raise ValueError(f"{name} is compressed; only stored members can be read by range")
         head = self._at(m.header, 30)
         if struct.unpack_from("<I", head)[0] != LOCAL:
             raise ValueError("a local header is damaged")
-        start = m.header + 30 + sum(struct.unpack_from("<HH", head, 26))
+        return m.header + 30 + sum(struct.unpack_from("<HH", head, 26))
+
+    def read(self, name: str, offset: int = 0, length: int | None = None) -> bytes:
+        """A range of a stored member."""
+        m, start = self.members[name], self.start(name)
         length = m.size - offset if length is None else length
         if offset < 0 or length < 0 or offset + length > m.size:
             raise ValueError("the range leaves the member")
         return self._at(start + offset, length)
 
+    def lines(self, name: str) -> Iterator[bytes]:
+        """The lines of a stored member, read a stretch at a time."""
+        start, size, rest = self.start(name), self.members[name].size, b""
+        for at in range(0, size, STRETCH):
+            *whole, rest = (rest + self._at(start + at, min(STRETCH, size - at))).split(b"\n")
+            yield from whole
+        if rest:
+            yield rest
+
 
 class ZipWriter:
     """Writes stored members one after another; sizes follow the data, always as ZIP64."""
@@ -162,9 +181,9 @@ def _one_line(value: str | None) -> str:
 def record(kind: str, page_id, url: str | None, digest: str, n: int, payload: bytes, refers_to=None) -> bytes:
     """One WARC record, as a gzip member. A revisit has no block; the length of the payload
     it stands for is an extension field."""
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Target-URI: {_one_line(url)}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page_id is None else quote(str(page_id), safe='')}>", f"WARC-Target-URI: {_one_line(url)}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}"]
     if kind == "revisit":
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>", f"X-Payload-Length: {n}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{quote(str(refers_to), safe='')}>", f"X-Payload-Length: {n}"]
         payload = b""
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(payload)}"]
     return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n", 1, mtime=0)
@@ -239,44 +258,81 @@ def write_archives(rows: DataFrame, folder: str, most: int = ARCHIVE_BYTES) -> D
     return rows.select("page_id", "url", "html", "refers_to").mapInArrow(run, "path string, records long")
 
 
-def read_archives(archives: DataFrame, folder: str, per_task: int = 2000) -> DataFrame:
-    """Every record of the archives (path, records): its fields and full-payload figures.
+def ranges_of(archives: DataFrame, folder: str, per_task: int) -> DataFrame:
+    """(path, start, offsets, lengths): stretches of records that lie side by side, of
+    ``per_task`` records and about RANGE_BYTES at most; offsets count from ``start``."""
 
-    Work is dealt out in ranges of ``per_task`` index lines, so one large archive is read
-    by many tasks."""
-    starts = F.sequence(F.lit(0).cast("long"), F.col("records") - 1, F.lit(per_task).cast("long"))
-    ranges = archives.filter("records > 0").select("path", F.explode(starts).alias("first"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(folder)
+        names = ["path", "start", "offsets", "lengths"]
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                where = f"{root}/{path}"
+                with fs.open_input_file(where) as f:
+                    z = ZipRanges(f, fs.get_file_info(where).size)
+                    starts: dict[str, int] = {}
+                    part: list[tuple[int, int]] = []
+
+                    def cut() -> pa.RecordBatch:
+                        first = part[0][0]
+                        return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([first]), pa.array([[o - first for o, _ in part]], pa.list_(pa.int64())), pa.array([[n for _, n in part]], pa.list_(pa.int64()))], names=names)
+
+                    for index in sorted(n for n in z.members if n.startswith("indexes/")):
+                        for line in z.lines(index):
+                            entry = json.loads(line.split(b" ", 2)[2])
+                            member, n = f"archive/{entry['filename']}", int(entry["length"])
+                            if member not in starts:
+                                starts[member] = z.start(member)
+                            if not 0 <= int(entry["offset"]) <= z.members[member].size - n:
+                                raise ValueError("the range leaves the member")
+                            at = starts[member] + int(entry["offset"])
+                            if part and (at != sum(part[-1]) or len(part) >= per_task or at + n - part[0][0] > RANGE_BYTES):
+                                yield cut()
+                                part.clear()
+                            part.append((at, n))
+                    if part:
+                        yield cut()
+
+    return archives.select("path").mapInArrow(run, "path string, start long, offsets array<long>, lengths array<long>")
+
+
+def page_of(uri: str | None, number: bool) -> int | str | None:
+    name = unquote((uri or "").removeprefix("<urn:page:").removesuffix(">"))
+    return None if not name else int(name) if number else name
+
+
+def read_archives(archives: DataFrame, folder: str, per_task: int = 2000, id_kind: str = "bigint", ws: Workspace | None = None) -> DataFrame:
+    """Every record of the archives (path): its fields and full-payload figures.
+
+    One large archive is read by many tasks, and a range by one read."""
+    ws = ws or Workspace(archives.sparkSession, "warc-read")
+    n = archives.count()
+    ranges = ws.table(ranges_of(archives.repartition(max(1, min(n, MOST_TASKS))), folder, per_task), "ranges")
     # a range is a few bytes here and megabytes to read, so partitions are set by their number
-    n = archives.agg(F.sum(F.ceil(F.col("records") / per_task))).first()[0] or 1
-    ranges = ranges.repartition(min(int(n), MOST_TASKS))
-
-    def page(uri: str | None) -> int | None:
-        number = (uri or "").removeprefix("<urn:page:").removesuffix(">")
-        return int(number) if number else None
+    ranges = ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)))
+    number = id_kind not in ("string", "binary")
 
     def make(b: pa.RecordBatch) -> dict:
         fs, root = pafs.FileSystem.from_uri(folder)
         out: dict[str, list] = {k: [] for k in ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")}
-        for path, first in zip(b.column("path").to_pylist(), b.column("first").to_pylist()):
-            where = f"{root}/{path}"
-            with fs.open_input_file(where) as f:
-                z = ZipRanges(f, fs.get_file_info(where).size)
-                index = next(n for n in z.members if n.startswith("indexes/"))
-                for line in io.BytesIO(z.read(index)).readlines()[first : first + per_task]:
-                    entry = json.loads(line.split(b" ", 2)[2])
-                    fields, block = parse(z.read(f"archive/{entry['filename']}", entry["offset"], entry["length"]))
-                    kind = fields["warc-type"]
-                    if kind == "response":
-                        n, digest = len(block), digest32(block)
-                        if f"sha1:{digest}" != fields["warc-payload-digest"]:
-                            raise ValueError(f"a payload in {path} does not have its digest")
-                    else:
-                        n, digest = int(fields["x-payload-length"]), fields["warc-payload-digest"].removeprefix("sha1:")
-                    for k, v in zip(out, (page(fields["warc-record-id"]), fields["warc-target-uri"], n, digest, kind, page(fields.get("warc-refers-to")))):
-                        out[k].append(v)
+        for path, start, offsets, lengths in zip(*(b.column(c).to_pylist() for c in ("path", "start", "offsets", "lengths"))):
+            with fs.open_input_file(f"{root}/{path}") as f:
+                f.seek(start)
+                data = f.read(offsets[-1] + lengths[-1])
+            for offset, n in zip(offsets, lengths):
+                fields, block = parse(data[offset : offset + n])
+                kind = fields["warc-type"]
+                if kind == "response":
+                    size, digest = len(block), digest32(block)
+                    if f"sha1:{digest}" != fields["warc-payload-digest"]:
+                        raise ValueError(f"a payload in {path} does not have its digest")
+                else:
+                    size, digest = int(fields["x-payload-length"]), fields["warc-payload-digest"].removeprefix("sha1:")
+                for k, v in zip(out, (page_of(fields["warc-record-id"], number), fields["warc-target-uri"], size, digest, kind, page_of(fields.get("warc-refers-to"), number))):
+                    out[k].append(v)
         return out
 
-    return map_rows(ranges, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long", make)
+    return map_rows(ranges, f"page_id {id_kind}, url string, payload_bytes long, payload_digest string, record_type string, refers_to {id_kind}", make)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -286,4 +342,4 @@ def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     if "://" not in folder and folder.startswith("file:"):
         folder = "file://" + folder[5:]
     manifest = ws.table(write_archives(assign(pages, least), folder), "manifest")
-    return read_archives(manifest, folder)
+    return read_archives(manifest, folder, id_kind=pages.schema["page_id"].dataType.simpleString(), ws=ws)

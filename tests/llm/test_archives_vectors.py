@@ -75,6 +75,17 @@ def test_many_archives_and_ranges(spark, tmp_path):
     assert sorted(r["page_id"] for r in got.collect()) == list(range(60))
 
 
+def test_string_ids_and_long_indexes(spark, tmp_path, monkeypatch):
+    rows = [("a b/é", "u", "same"), ("z>", "u", "same"), ("", "u", "x"), ("7", None, None)]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = sorted((r["page_id"] or "", r["record_type"], r["refers_to"]) for r in warc_zip.round_trip(df).collect())
+    assert got == [("", "response", None), ("7", "response", None), ("a b/é", "revisit", "z>"), ("z>", "response", None)]
+    data = archive([("indexes/index.cdxj", b"".join(b"line %d\n" % i for i in range(500)) + b"end"), ("empty", b"")])
+    monkeypatch.setattr(warc_zip, "STRETCH", 37)
+    z = ZipRanges(io.BytesIO(data), len(data))
+    assert list(z.lines("indexes/index.cdxj")) == [b"line %d" % i for i in range(500)] + [b"end"] and list(z.lines("empty")) == []
+
+
 def by_force(vectors, least):
     n = len(vectors)
     ok = [v is not None and all(c is not None and np.isfinite(c) for c in v) and any(v) for v in vectors]
