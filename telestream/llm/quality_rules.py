@@ -1,10 +1,12 @@
 """Quality rules: suffix-array repetition over whole texts.
 
 Words are encoded as integers, suffixes of each document are ordered by prefix doubling
-(only suffixes that still share their prefix are sorted again), longest common prefixes
-of neighbouring suffixes give the longest repeat that starts at each word, and the union
-of those spans the repeated part of the document. Memory is O(words * log(longest
-repeat)) for one slice of documents (about 4 MB of text, or one longer document).
+(only suffixes that still share their prefix are sorted again). Longest common prefixes of
+neighbouring suffixes form nested intervals of the order; the deepest one that a suffix is
+in gives the longest repeat that starts at its word. Such a repeat is a maximal repeated
+substring unless it lies inside that of the word before. The spans of the maximal ones are
+united into the repeated part of the document. Memory is 4 bytes * words * log2(longest
+repeat) for one slice of documents (about 4 MB of text, or one longer document).
 
 Nulls and empty texts have no words and fail the base rule. Repeated rows are scored
 row by row; ids, other columns and their names play no part. Ties cannot occur.
@@ -54,7 +56,8 @@ def longest_repeats(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     end = np.searchsorted(doc, doc, side="right")
     key = doc.astype(np.int64) << 32 | ids
     levels: list[np.ndarray] = []
-    rank, live, h = np.zeros(n, np.int64), np.arange(n), 1
+    number = np.int32 if n < 1 << 31 else np.int64
+    rank, live, h = np.zeros(n, number), np.arange(n, dtype=number), 1
     while True:
         order = np.argsort(key, kind="stable")
         live, key = live[order], key[order]
@@ -63,16 +66,16 @@ def longest_repeats(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
         old = rank[live]
         head = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], np.arange(len(live)), 0))
         rank = rank.copy()
-        rank[live] = old + np.repeat(starts, sizes) - head
+        rank[live] = (old + np.repeat(starts, sizes) - head).astype(number)
         levels.append(rank)
         live = live[np.repeat(sizes, sizes) > 1]
         if not len(live):
             break
         after = live + h
-        key = rank[live] * (n + 1) + np.where(after < end[live], rank[np.minimum(after, n - 1)] + 1, 0)
+        key = rank[live].astype(np.int64) * (n + 1) + np.where(after < end[live], rank[np.minimum(after, n - 1)] + 1, 0)
         h *= 2
-    suffixes = np.empty(n, np.int64)
-    suffixes[rank] = np.arange(n)
+    suffixes = np.empty(n, number)
+    suffixes[rank] = np.arange(n, dtype=number)
     a, b = suffixes[:-1], suffixes[1:]
     near = levels[0][a] == levels[0][b]
     a, b = a[near], b[near]
@@ -87,9 +90,15 @@ def longest_repeats(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return longest
 
 
+def maximal(repeat: np.ndarray, least: int) -> np.ndarray:
+    """The words at which a maximal repeat of ``least`` words or more starts: the repeat of
+    the word before does not hold it."""
+    return np.flatnonzero((repeat >= least) & ~np.r_[False, repeat[:-1] > repeat[1:]]) if len(repeat) else np.empty(0, np.int64)
+
+
 def covered(repeat: np.ndarray, least: int) -> np.ndarray:
-    """Marks the words of spans [p, p + repeat[p]) of ``least`` words or more."""
-    p = np.flatnonzero(repeat >= least)
+    """Marks the words of the union of maximal repeats [p, p + repeat[p])."""
+    p = maximal(repeat, least)
     edge = np.zeros(len(repeat) + 1, np.int32)
     np.add.at(edge, p, 1)
     np.add.at(edge, p + repeat[p], -1)
@@ -102,8 +111,7 @@ def maximal_repeats(text: str, least: int = 8) -> list[tuple[int, int]]:
     words = text.encode().split()
     ids = np.unique(np.array(words, object), return_inverse=True)[1] if words else np.empty(0, np.int64)
     r = longest_repeats(ids, np.zeros(len(ids), np.int32))
-    inner = np.r_[False, r[:-1] > r[1:]] if len(r) else np.empty(0, bool)
-    return [(int(p), int(r[p])) for p in np.flatnonzero((r >= least) & ~inner)]
+    return [(int(p), int(r[p])) for p in maximal(r, least)]
 
 
 def measure(texts: list[bytes], limits: Limits) -> dict[str, np.ndarray]:

@@ -7,8 +7,9 @@ are ranked, and slot r takes block r mod (number of blocks). A document's take i
 of its overlaps with the blocks that were taken.
 
 Ranks and running sums over a source are found in two steps, by keyed sub-ranges of
-bounded size and within them, so that no source passes through one task whole. Only one
-row per source reaches the driver.
+bounded size and within them, so that no source passes through one task whole. The same
+holds for the sources themselves, which may be as many as hosts: they are numbered, given
+targets and laid out along the points as a table, and only totals reach the driver.
 
 Null texts and texts without words have size 0 and take 0. Null sources form one source,
 last in order. Documents with equal ids (or null ids) are ordered by a digest of their
@@ -29,7 +30,8 @@ CHUNK, BINS = 4096, 65536
 
 def targets(sizes: list[int], weights: list[float], most: float = 3.0) -> list[float]:
     """Shares 100 % of all sizes by weight; a source gets ``most`` times its size at most,
-    and what is over goes to the others by weight, until none is above."""
+    and what is over goes to the others by weight, until none is above. The rule on plain
+    lists, which ``plan_sources`` follows on tables (tests hold one against the other)."""
     total, out, free = float(sum(sizes)), [0.0] * len(sizes), set(range(len(sizes)))
     rest = total
     while free:
@@ -58,6 +60,46 @@ def running(ws: Workspace, df: DataFrame, key: str, order: list[str], part: str,
     return within.join(base, [key, part]).withColumn(out, F.col("_base") + F.col("_in")).drop("_base", "_in")
 
 
+def plan_sources(ws: Workspace, per: DataFrame, weights: tuple[float, ...], block: int, most: float) -> tuple[DataFrame, int]:
+    """(a row per source of (source, size, n) with its number, target, blocks and range of
+    points; the number of slots). Numbers follow code points, null last."""
+    # a sorted table is written partition by partition, so a number is the rows of the
+    # partitions before and the place in the own one
+    order = [F.col("source").isNull(), F.col("source")]
+    rows = ws.table(per.orderBy(*order).withColumn("file", F.spark_partition_id()), "sources")
+    ahead, first = 0, {}
+    for r in sorted(rows.groupBy("file").count().collect()):  # a row per partition
+        first[r["file"]], ahead = ahead, ahead + r["count"]
+    offsets = ws.spark.createDataFrame(list(first.items()), "file int, ahead long")
+    rows = rows.join(F.broadcast(offsets), "file").withColumn("source_no", (F.col("ahead") + F.row_number().over(Window.partitionBy("file").orderBy(*order)) - 1).cast("int"))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("source_no") % len(weights) + 1)
+    rows = ws.table(rows.select("source_no", "source", F.col("size").alias("source_size"), "n", weight.alias("weight")), "numbered")
+    total = float(rows.agg(F.sum("source_size")).first()[0] or 0)
+    # a source is capped once its share of what is left is above; each round may cap more
+    share, capped = None, -1
+    while True:
+        over = F.lit(False) if share is None else F.lit(share) * F.col("weight") > most * F.col("source_size")
+        r = rows.agg(F.count_if(over).alias("k"), F.sum(F.when(over, most * F.col("source_size"))).alias("taken"), F.sum(F.when(~over, F.col("weight"))).alias("weight")).first()
+        if r["k"] == capped:
+            break
+        capped, left, free = r["k"], total - (r["taken"] or 0.0), r["weight"]
+        if not free:
+            break
+        share = left / free
+    over = F.lit(share or 0.0) * F.col("weight") > most * F.col("source_size")
+    target = F.when(over, most * F.col("source_size")).otherwise(F.lit(left) * F.col("weight") / F.lit(free or 1.0))
+    blocks = F.when(F.col("source_size") > 0, F.greatest(F.lit(1), F.expr(f"(2 * source_size + {block}) div {2 * block}"))).otherwise(0)
+    rows = rows.withColumn("target", target.cast("double")).withColumn("blocks", blocks.cast("long"))
+    # slots of each source in millionths, so that bounds are exact whole numbers
+    slots = F.when(F.col("source_size") > 0, F.floor(F.col("target") * F.col("blocks") / F.col("source_size") * 1e6)).otherwise(0).cast("long")
+    rows = rows.withColumn("slots", slots).withColumn("all", F.lit(0)).withColumn("part", F.floor(F.col("source_no") / CHUNK).cast("long"))
+    rows = ws.table(running(ws, rows, "all", ["source_no"], "part", "slots", "at"), "laid-out")
+    n = int(rows.agg(F.sum(F.col("slots").cast("decimal(38,0)"))).first()[0] or 0)
+    bound = lambda c: F.expr(f"cast({c} AS decimal(27,0)) * {MODULUS} div {max(1, n)}").cast("long")
+    rows = rows.select("source_no", "source", "source_size", "target", "blocks", bound("at").alias("low"), bound("at + slots").alias("high"), F.greatest(F.lit(1), F.expr(f"n div {CHUNK}")).cast("long").alias("parts"))
+    return ws.table(rows, "plan"), (n + 500_000) // 1_000_000
+
+
 def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int = 128, seed: str = "mix", most: float = 3.0, key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents with their take, slots): the slots are (slot, source_no, block). A column
     ``key`` that tells rows apart is handed on."""
@@ -65,22 +107,9 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int
     spark, ws = docs.sparkSession, Workspace(docs.sparkSession, "schedule")
     rows = docs.select(*own, "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit("")))).alias("place"), F.md5(F.coalesce("text", F.lit(""))).alias("tie"))
     rows = ws.table(rows, "sizes")
-    per = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    # the order of code points is that of UTF-8 bytes
-    per.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
-    sizes = [int(r["size"]) for r in per]
-    goal = targets(sizes, [weights[i % len(weights)] for i in range(len(per))], most)
-    blocks = [max(1, (2 * s + block) // (2 * block)) if s else 0 for s in sizes]
-    # slots of each source in millionths, so that bounds are exact whole numbers
-    slots = [int(g * b / s * 1e6) if s else 0 for g, b, s in zip(goal, blocks, sizes)]
-    n_slots = (sum(slots) + 500_000) // 1_000_000
-    plan, at = [], 0
-    for i, r in enumerate(per):
-        low, at = at, at + slots[i]
-        bound = [x * MODULUS // max(1, sum(slots)) for x in (low, at)]
-        plan.append((i, r["source"], sizes[i], float(goal[i]), blocks[i], *bound, max(1, r["n"] // CHUNK)))
-    plan = spark.createDataFrame(plan, "source_no int, source string, source_size long, target double, blocks long, low long, high long, parts long")
-    # one row per source: bounded by the sources' number, which adaptive execution checks before it broadcasts
+    per = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    plan, n_slots = plan_sources(ws, per, weights, block, most)
+    # one row per source: adaptive execution checks the size before it broadcasts
     docs_in = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select(*own, "doc_id", "size", "place", "tie", plan["source_no"], "source_size", "target", "blocks", "parts")
     docs_in = docs_in.withColumn("part", F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * F.col("parts") / F.lit(1 << 32)).cast("long"))
     placed = ws.table(running(ws, docs_in, "source_no", ["place", "tie"], "part", "size", "start").withColumn("row", F.monotonically_increasing_id()), "placed")

@@ -107,6 +107,21 @@ def test_targets_share_everything(sizes, weights):
     assert len({round(got[i] / weights[i], 6) for i in free}) <= 1
 
 
+@pytest.mark.parametrize("sizes", [[100, 10, 1, 50], [0, 10, 10], [7], [], [5, 5, 1000, 3, 9, 0, 2], [1, 1, 10**12]])
+def test_targets_of_a_table_of_sources(spark, sizes):
+    ws = Workspace(spark, "t")
+    names = ["b", "Z", "é", "a", None, "aa", "zz"][: len(sizes)]
+    order = sorted(range(len(sizes)), key=lambda i: (names[i] is None, (names[i] or "").encode()))
+    per = spark.createDataFrame([(names[i], sizes[i], 5000) for i in range(len(sizes))], "source string, size long, n long")
+    plan, n_slots = source_schedule.plan_sources(ws, per, (5, 2, 1), 128, 3.0)
+    got = sorted(plan.collect(), key=lambda r: r["source_no"])
+    assert [r["source"] for r in got] == [names[i] for i in order]
+    want = source_schedule.targets([sizes[i] for i in order], [(5, 2, 1)[k % 3] for k in range(len(order))])
+    assert [r["target"] for r in got] == pytest.approx(want) and all(r["parts"] == 1 for r in got)
+    assert all(a["high"] == b["low"] for a, b in zip(got, got[1:])) and (not got or not sum(sizes) or got[-1]["high"] == source_schedule.MODULUS)
+    assert n_slots == pytest.approx(sum(t * r["blocks"] / r["source_size"] for t, r in zip(want, got) if r["source_size"]), abs=1)
+
+
 def test_mix_is_near_its_targets_and_repeats(spark):
     rng = random.Random(8)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 200)), rng.choice(["a", "b", "c", "d", None])) for i in range(400)]
