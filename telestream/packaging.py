@@ -1,4 +1,4 @@
-"""Carries this package to the executors."""
+"""Carries this package to the executors; the folder they share with the driver."""
 
 from __future__ import annotations
 
@@ -23,3 +23,15 @@ def ship(spark: SparkSession) -> None:
             z.write(p, f"{home.name}/{p.relative_to(home)}")
     context.addPyFile(path)
     context._telestream = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, named by ``spark.checkpoint.dir``. Where it
+    is unset a folder of this machine does, if all runs on this machine, and only then."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = "file:/tmp/checkpoints/telestream"
+    return found.rstrip("/")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..config import CODECS
 from ..functions import text
 from ..operators import reports
+from ..packaging import shared_dir
 from ..schema import logs, table
 from ..sources import codecs, generate, otlp
 
@@ -98,7 +99,7 @@ def stream_equals_batch(spark, d):
     """Outcome counts by shard of the events file stream, read until it is drained."""
     from ..streaming import pipeline
 
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "file:/tmp/checkpoints/telestream").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     e = pipeline.event_stream(spark, d)
     error = F.when(F.col("event_type") == "error", "transient").when(F.col("event_type") == "signup", "permanent")
     rows = e.select(F.format_string("shard-%03d", F.col("user_id") % 4).alias("shard_id"), F.col("event_id").alias("seq"), (F.col("event_id") % 13 != 0).alias("unpacked"), (F.col("event_id") % 17 != 0).alias("decoded"), error.alias("error"))
