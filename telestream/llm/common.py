@@ -12,19 +12,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..packaging import ship
+from ..packaging import shared_dir, ship
 
-DEFAULT_DIR = "file:/tmp/checkpoints/telestream"
 #: ASCII white space as the contracts use it; bytes.split() splits on exactly these.
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a default only where none is set."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_DIR).rstrip("/")
-
-
 class Workspace:
     """Written intermediates of one call under the shared folder.
 
