@@ -1,4 +1,12 @@
-"""A corpus pipeline: quality classifier, quality rules, near-duplicates, mix, pieces."""
+"""A corpus pipeline: quality classifier, quality rules, near-duplicates, mix, pieces.
+
+Every stage treats rows one by one, whatever their ids: null and repeated ids stay apart,
+and equal rows are copies of each other. A null text is an empty one; the classifier scores
+it as one empty line, the rules reject it, and stages that get one all the same keep it.
+Null sources form one source of the mix. Columns beside those of documents are dropped;
+an empty table gives an empty result in every stage. Ties between copies go to the
+smallest id, then to the first row. Very long texts are read whole by every stage.
+"""
 
 from __future__ import annotations
 
@@ -31,11 +39,13 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that sources meet their targets: a document
     stands as often as the whole times the mix takes it, and once more if the part that
-    is left is half of it or more."""
+    is left is half of it or more. Only documents at the ends of blocks are taken in part,
+    up and down alike, so a source's words stay within a few blocks of its target. A
+    document without words takes nothing of any target and stays once."""
     keyed = Workspace(spark, "mix").table(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
     mixed, _ = source_schedule.schedule(keyed, key="_row")
-    times = F.round(F.col("taken") / F.col("size")).cast("int")
-    often = mixed.filter("size > 0 AND taken > 0").select("_row", times.alias("times")).filter("times > 0")
+    times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
+    often = mixed.select("_row", times.alias("times")).filter("times > 0")
     return keyed.join(often, "_row").withColumn("again", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 

@@ -301,6 +301,8 @@ def test_pipeline_keeps_rows_with_null_and_repeated_ids(spark, tmp_path):
     want = {r["k"]: int(r["taken"] / r["size"] + 0.5) for r in source_schedule.schedule(keyed, key="k")[0].collect()}
     assert {t: n for t, n in want.items() if n} == {t: sum(r["text"] == t for r in mixed) for t in {r["text"] for r in mixed}}
     assert any(r["doc_id"] is None for r in mixed)
+    none = spark.createDataFrame([(1, None, "en", "a", 0), (None, "", "en", None, 0), (2, "a b", "en", "a", 3)], df.schema)
+    assert sorted(r["text"] or "" for r in cp.mix(spark, none, "").collect()) == ["", "", "a b"]
     # copies that the mix makes are cut on their own
     twice = df.filter("text = '" + texts[5] + "'")
     out = cp.pieces(spark, twice.unionByName(twice), "").collect()
