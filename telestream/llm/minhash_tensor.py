@@ -7,8 +7,10 @@ combines one group of the first with one of the second, so that GROUPS * GROUPS
 1. Documents with equal shingle sets are one node; only one of them is compared.
 2. Each table's bucket links its nodes to one of them: candidates, linear in the bucket.
 3. Candidates are confirmed on whole shingle sets; confirmed links are united.
-4. A bucket whose nodes confirmed links leave in several parts is open. Its pairs across
-   parts are compared as well, ``BLOCK`` nodes against as many at a time, in the first
+4. A bucket whose nodes confirmed links leave in several parts is open. Its nodes are
+   compared with a second one of them, another from table to table. In buckets that are
+   still open pairs across
+   parts are compared, ``BLOCK`` nodes against as many at a time, in the first
    table whose key they share: first by sketches (16 bits of each minhash), which leave
    only nodes that may have a partner; their whole sets are then compared. Nothing is
    capped. A block returns at most one link per node, and pairs whose parts it has already
@@ -29,6 +31,7 @@ component is null where no row of it has an id. An empty table gives an empty re
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -147,14 +150,54 @@ class Block:
         return y[same[:, :GROUPS].argmax(axis=1) * GROUPS + same[:, GROUPS:].argmax(axis=1) == self.place]
 
 
-def _hopeful(table: pa.Table, i: int, j: int, percent: int) -> pa.Table:
-    """The rows that have a partner."""
-    block, keep = Block(table, i, j, percent), np.zeros(len(table), bool)
-    for x in block.left.tolist():
-        y = block.partners(x)
-        keep[y] = True
-        keep[x] |= len(y) > 0
-    return table.filter(pa.array(keep))
+def _hopeful(t: pa.Table, percent: int) -> np.ndarray:
+    """Which rows of whole groups (key, i, j), one after the other, may have a partner in
+    theirs. All groups are compared at once, each row with the one ``s`` places on."""
+    n, bar = t.num_rows, least_equal(percent)
+    key, i, j, own, place = (np.asarray(t.column(c)) for c in ("key", "i", "j", "own", "place"))
+    group = np.cumsum(np.r_[False, (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)])
+    part = np.frombuffer(b"".join(t.column("part").to_pylist()), "<u8").reshape(n, 2)
+    mins = np.frombuffer(b"".join(t.column("mins").to_pylist()), "<u2").reshape(n, -1)
+    groups = np.asarray(t.column("groups").combine_chunks().flatten()).reshape(n, -1)
+    keep = np.zeros(n, bool)
+    for s in range(1, n):
+        a = np.flatnonzero(group[:-s] == group[s:])
+        if not len(a):
+            break
+        a = a[((i[a] == j[a]) | (own[a] != own[a + s])) & (part[a] != part[a + s]).any(axis=1)]
+        a = a[(mins[a] == mins[a + s]).sum(axis=1) >= bar]
+        same = groups[a] == groups[a + s]
+        a = a[same[:, :GROUPS].argmax(axis=1) * GROUPS + same[:, GROUPS:].argmax(axis=1) == place[a]]
+        keep[a] = keep[a + s] = True
+    return keep
+
+
+def hopeful(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows of (key, i, j, own, node, part, place, groups, mins) that have a partner in
+    their group by sketch."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = to_arrow_schema(rows.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            ends = np.zeros(t.num_rows, bool)
+            for c in ("key", "i", "j"):
+                v = np.asarray(t.column(c))
+                ends[1:] |= v[1:] != v[:-1]
+            last = int(np.flatnonzero(ends)[-1]) if ends.any() else 0
+            held = t.slice(last)
+            if last:
+                whole = t.slice(0, last).combine_chunks()
+                yield from whole.filter(pa.array(_hopeful(whole, percent))).cast(schema).to_batches()
+        if held is not None and held.num_rows:
+            held = held.combine_chunks()
+            yield from held.filter(pa.array(_hopeful(held, percent))).cast(schema).to_batches()
+
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, rows.schema)
 
 
 def _compare(table: pa.Table, i: int, j: int, percent: int) -> list[tuple[bytes, bytes]]:
@@ -206,25 +249,46 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = ws.table(map_rows(named, "node binary, items array<long>", whole, "text").dropDuplicates(["node"]), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    both = candidates.join(left, "a").join(right, "b")
-    both = both.withColumn("n", F.size(F.array_intersect("x", "y"))).filter(100 * F.col("n") >= percent * (F.size("x") + F.size("y") - F.col("n")))
-    links = ws.table(both.select("a", "b"), "links")
-    parts = ws.table(wanted.join(components(ws, links).withColumnRenamed("root", "part"), "node", "left").select("node", F.coalesce("part", "node").alias("part")), "parts")
+
+    def confirmed(some: DataFrame) -> DataFrame:
+        both = some.join(left, "a").join(right, "b").withColumn("n", F.size(F.array_intersect("x", "y")))
+        return ws.table(both.filter(100 * F.col("n") >= percent * (F.size("x") + F.size("y") - F.col("n"))).select("a", "b"), "links")
+
+    def united(links: DataFrame) -> DataFrame:
+        roots = components(ws, links).withColumnRenamed("root", "part")
+        return ws.table(wanted.join(roots, "node", "left").select("node", F.coalesce("part", "node").alias("part")), "parts")
+
+    links = confirmed(candidates)
+    parts = united(links)
     placed = ws.table(held.select("key", "node").join(parts, "node"), "placed")
-    open_ = placed.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("k")).filter("p <> q")
-    open_ = ws.table(open_.select("key", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")), "open")
-    rest = placed.join(open_, "key").join(nodes.select("node", "groups", "mins"), "node")
+    # open buckets once more against a node that differs from table to table: the least by
+    # its bytes from another place on
+    at = F.pmod(F.col("key"), F.lit(16)).cast("int")
+    turned = lambda c, k: F.concat(F.substring(c, k + 1, F.lit(16)), F.substring(c, F.lit(1), k))
+    heads = placed.groupBy("key").agg(F.min(turned(F.col("node"), at)).alias("head"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
+    heads = heads.select("key", turned(F.col("head"), F.pmod(16 - at, F.lit(16))).alias("head"))
+    heads = ws.table(heads.join(parts.select(F.col("node").alias("head"), F.col("part").alias("of_head")), "head"), "heads")
+    again = placed.join(heads, "key").filter("part <> of_head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    links = links.unionByName(confirmed(again))
+    parts = united(links)
+    placed = ws.table(placed.join(heads.select("key"), "key").select("key", "node").join(parts, "node"), "placed")
+    # the largest part of a bucket is only compared with the rest, not within itself
+    sizes = placed.groupBy("key", "part").agg(F.count("*").alias("k")).groupBy("key")
+    open_ = sizes.agg(F.max(F.struct("k", "part")).alias("top"), F.sum("k").alias("k"), F.count("*").alias("parts")).filter("parts > 1")
+    open_ = open_.select("key", F.col("top.part").alias("top"), F.ceil(F.col("top.k") / BLOCK).cast("int").alias("big"), F.ceil((F.col("k") - F.col("top.k")) / BLOCK).cast("int").alias("small"))
+    rest = placed.join(ws.table(open_, "open"), "key").join(nodes.select("node", "groups", "mins"), "node")
     rest = rest.withColumn("place", F.array_position(F.array(*pairs), F.col("key")) - 1)
-    rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    in_top, at = F.col("part") == F.col("top"), F.xxhash64("node")
+    rest = rest.withColumn("own", F.when(in_top, F.pmod(at, F.col("big"))).otherwise(F.col("big") + F.pmod(at, F.col("small"))).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.when(in_top, F.col("big")).otherwise(0), F.col("big") + F.col("small") - 1)))
     rest = rest.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "part", "place", "groups", "mins")
-    hopeful = rest.groupBy("key", "i", "j").applyInArrow(lambda key, t: _hopeful(t, key[1].as_py(), key[2].as_py(), percent), rest.schema)
-    hopeful = ws.table(hopeful, "hopeful").join(sets, "node")
+    some = ws.table(hopeful(rest, percent), "hopeful").join(sets, "node")
 
     def compare(key, table):
         found = _compare(table, key[1].as_py(), key[2].as_py(), percent)
         return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
 
-    more = ws.table(hopeful.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary"), "more")
+    more = ws.table(some.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary"), "more")
     roots = ws.table(components(ws, links.unionByName(more)), "roots")
     of_node = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     of_node = ws.table(of_node, "of-node")
