@@ -17,6 +17,8 @@ from ..packaging import shared_dir, ship
 #: ASCII white space as the contracts use it; bytes.split() splits on exactly these.
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Tables of fewer than MANY rows are written by FEWEST tasks and one more for each ROWS_A_FILE.
+MANY, FEWEST, ROWS_A_FILE = 1_000_000, 4, 20_000
 
 
 class Workspace:
@@ -33,8 +35,12 @@ class Workspace:
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         atexit.register(self.drop)
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """The table, written and read again. Where ``rows``, a bound of its rows, is known to
+        be small, it is written by few tasks, as files of some size."""
         path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
+        if rows is not None and rows < MANY:
+            df = df.coalesce(FEWEST + rows // ROWS_A_FILE)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -109,25 +115,28 @@ def components(ws: Workspace, edges: DataFrame, most_rounds: int = 60) -> DataFr
     kind = edges.schema["a"].dataType.simpleString()
     edges = ws.table(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     maps: list[DataFrame] = []
+    sizes: list[int] = []
     for r in range(most_rounds):
-        if edges.isEmpty():
+        n = edges.count()
+        if not n:
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b", F.lit(r)).alias("h"), F.col("b").alias("n"))).alias("m"))
         own = F.struct(F.xxhash64("a", F.lit(r)).alias("h"), F.col("a").alias("n"))
-        step = ws.table(near.select(F.col("a").alias("node"), F.least("m", own)["n"].alias("to")), "step")
+        step = ws.table(near.select(F.col("a").alias("node"), F.least("m", own)["n"].alias("to")), "step", 2 * n)
         maps.append(step)
         left, right = step.select(F.col("node").alias("a"), F.col("to").alias("x")), step.select(F.col("node").alias("b"), F.col("to").alias("y"))
         moved = edges.join(left, "a").join(right, "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        edges = ws.table(moved, "edges")
+        edges = ws.table(moved, "edges", n)
+        sizes.append(2 * n)
     else:
         raise RuntimeError("components did not settle")
     if not maps:
         return ws.spark.createDataFrame([], f"node {kind}, root {kind}")
     found = maps[-1].select("node", F.col("to").alias("root"))
-    for step in reversed(maps[:-1]):
+    for step, n in zip(reversed(maps[:-1]), reversed(sizes[:-1])):
         up = found.select(F.col("node").alias("to"), "root")
-        found = ws.table(step.join(up, "to", "left").select("node", F.coalesce("root", "to").alias("root")), "roots")
+        found = ws.table(step.join(up, "to", "left").select("node", F.coalesce("root", "to").alias("root")), "roots", n)
     return found
 
 
