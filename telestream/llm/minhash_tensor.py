@@ -59,7 +59,7 @@ _words: dict[bytes, int] = {}
 
 def _word_codes(words: list[bytes]) -> np.ndarray:
     """64-bit digests of words; a worker remembers a bounded number of them."""
-    if len(_words) > 400_000:
+    if len(_words) > 150_000:
         _words.clear()
     for w in set(words):
         if w not in _words:

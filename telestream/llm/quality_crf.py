@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..packaging import ship
-from .common import SPACE, Ragged, few, int_lists, map_rows
+from .common import SPACE, Ragged, few, int_lists, map_rows, small_batches
 
 UPPER, DIGIT, SYMBOL, STOP = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&|<>{}[]=~^_@\\", b"!?"
 RAW = 12
@@ -213,6 +213,7 @@ def score(docs: DataFrame, model: Crf) -> DataFrame:
 def keep(docs: DataFrame, model: Crf, least: float = 0.7) -> DataFrame:
     """The rows that score ``least`` or more, with all their columns."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     def good(text: pa.Array) -> pa.Array:
         texts = [(t or "").encode() for t in text.to_pylist()]

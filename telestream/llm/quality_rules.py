@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..packaging import ship
-from .common import SPACE, blobs, map_rows
+from .common import SPACE, blobs, map_rows, small_batches
 
 #: Characters counted as symbols (fixed values).
 SYMBOLS = b"#*$%&|<>"
@@ -170,4 +170,5 @@ def passes(limits: Limits = Limits()) -> "callable":
 def keep(docs: DataFrame, limits: Limits = Limits(), text_col: str = "text") -> DataFrame:
     """The rows whose text passes, with all their columns."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
     return docs.filter(passes(limits)(F.col(text_col)))
