@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -42,11 +42,12 @@ def attribute(attrs: Column, name: str) -> Column:
     return F.coalesce(F.try_element_at(attrs, F.lit(name)), F.lit(""))
 
 
-def resolve_parts(plan: Sequence[KeySource], res: Column, metric: Column, leaf: Column) -> list[Column]:
-    """One string per component; what is missing is empty."""
-    read = {"resource": lambda k: attribute(res, k.name), "datapoint": lambda k: attribute(leaf, k.name), "metric_name": lambda k: F.coalesce(metric, F.lit(""))}
-    values = [read[k.source](k) for k in plan]
-    return [first_capture(v, k.regex) if k.regex else v for k, v in zip(plan, values)]
+def resolve_parts(plan: Sequence[KeySource], res: Column, metric: Column, leaf: Column, read: Callable[[Column, str], Column] = attribute) -> list[Column]:
+    """One string per component; what is missing is empty. ``read`` gives the text under a
+    key of attributes, which are string maps or (``values.read``) lists of typed values."""
+    from_ = {"resource": lambda k: read(res, k.name), "datapoint": lambda k: read(leaf, k.name), "metric_name": lambda k: F.coalesce(metric, F.lit(""))}
+    found = [from_[k.source](k) for k in plan]
+    return [first_capture(v, k.regex) if k.regex else v for k, v in zip(plan, found)]
 
 
 def join_parts(parts: Sequence[Column]) -> Column:
@@ -58,13 +59,13 @@ def put_if_absent(attrs: Column, name: str, value: Column) -> Column:
     return F.when(add, F.map_concat(attrs, F.create_map(F.lit(name), value))).otherwise(attrs)
 
 
-def promote(plan: Sequence[KeySource], parts: Sequence[Column], res: Column, leaf: Column) -> tuple[Column, Column]:
+def promote(plan: Sequence[KeySource], parts: Sequence[Column], res: Column, leaf: Column, put: Callable[[Column, str, Column], Column] = put_if_absent) -> tuple[Column, Column]:
     """Resource and leaf attributes with parts written back; later parts see earlier ones."""
     for k, part in zip(plan, parts):
         if k.promote and k.source == "resource":
-            res = put_if_absent(res, k.promote, part)
+            res = put(res, k.promote, part)
         elif k.promote:
-            leaf = put_if_absent(leaf, k.promote, part)
+            leaf = put(leaf, k.promote, part)
     return res, leaf
 
 

@@ -35,20 +35,38 @@ def base64_line(data: Column) -> Column:
     return F.regexp_replace(F.base64(data), r"[\r\n]", "")
 
 
+def fixed(x: Column, digits: int) -> Column:
+    """A double of zero or more below 2^40 with so many decimals, rounded as the exact binary
+    value is, ties to even digits: in whole numbers, for Java's formatter rounds the shortest
+    decimal form instead, which is another number."""
+    shift = F.when(x < 1 << 10, 52).when(x < 1 << 20, 42).otherwise(22)
+    one = F.when(x < 1 << 10, F.lit(1 << 52)).when(x < 1 << 20, F.lit(1 << 42)).otherwise(F.lit(1 << 22)).cast("decimal(18,0)")
+    whole = (x * F.pow(F.lit(2.0), shift)).cast("long").cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(4,0)")
+    q = F.floor(whole / one).cast("decimal(20,0)")
+    # the division is rounded itself; the remainder says which side it is on
+    rest = whole - q * one
+    q = F.when(rest < 0, q - 1).when(rest >= one, q + 1).otherwise(q).cast("decimal(20,0)")
+    twice = (whole - q * one) * 2
+    q = F.when((twice > one) | ((twice == one) & (q % 2 == 1)), q + 1).otherwise(q).cast("long")
+    tens = 10**digits
+    return q.cast("string") if not digits else F.concat(F.floor(q / tens).cast("string"), F.lit("."), F.lpad((q % tens).cast("string"), digits, "0"))
+
+
 def show_ns(x: Column) -> Column:
-    return F.when(x.isNull(), "—").when(x < 1e3, F.format_string("%.0fns", x)).when(x < 1e6, F.format_string("%.1fµs", x / 1e3)).when(x < 1e9, F.format_string("%.2fms", x / 1e6)).otherwise(F.format_string("%.2fs", x / 1e9))
+    unit = lambda by, digits, name: F.concat(fixed(x / by, digits), F.lit(name))
+    return F.when(x.isNull(), "—").when(x < 1e3, unit(1.0, 0, "ns")).when(x < 1e6, unit(1e3, 1, "µs")).when(x < 1e9, unit(1e6, 2, "ms")).otherwise(unit(1e9, 2, "s"))
 
 
 def show_bytes(x: Column) -> Column:
-    return F.when(x.isNull(), "—").when(x < 1024, F.format_string("%dB", x.cast("long"))).when(x < 1 << 20, F.format_string("%.1fKiB", x / 1024)).otherwise(F.format_string("%.2fMiB", x / (1 << 20)))
+    return F.when(x.isNull(), "—").when(x < 1024, F.format_string("%dB", x.cast("long"))).when(x < 1 << 20, F.concat(fixed(x / 1024, 1), F.lit("KiB"))).otherwise(F.concat(fixed(x / (1 << 20), 2), F.lit("MiB")))
 
 
 def show_ratio(x: Column) -> Column:
-    return F.when(x.isNull(), "—").otherwise(F.format_string("%.2f×", x))
+    return F.when(x.isNull(), "—").otherwise(F.concat(fixed(x, 2), F.lit("×")))
 
 
 def show_per_record(x: Column) -> Column:
-    return F.when(x.isNull(), "—").when(x < 10, F.format_string("%.2fB", x)).when(x < 1024, F.format_string("%.0fB", x)).otherwise(F.format_string("%.1fKiB", x / 1024))
+    return F.when(x.isNull(), "—").when(x < 10, F.concat(fixed(x, 2), F.lit("B"))).when(x < 1024, F.concat(fixed(x, 0), F.lit("B"))).otherwise(F.concat(fixed(x / 1024, 1), F.lit("KiB")))
 
 
 def to_int(value: Column, default: int) -> Column:

@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,21 +27,48 @@ def _zstd():
     return _tools["zstd"]
 
 
-def _crc_table() -> list[int]:
+def _crc_tables() -> tuple[np.ndarray, list[np.ndarray]]:
+    """The byte table of CRC-32C, and operators that push a register over 1, 2, 4, ... zero
+    bytes, each as four tables by byte of the register."""
     if "crc" not in _tools:
-        table = []
-        for i in range(256):
-            for _ in range(8):
-                i = i >> 1 ^ (0x82F63B78 if i & 1 else 0)
-            table.append(i)
-        _tools["crc"] = table
+        table = np.arange(256, dtype=np.uint32)
+        for _ in range(8):
+            table = np.where(table & 1, table >> 1 ^ np.uint32(0x82F63B78), table >> 1).astype(np.uint32)
+        lanes = np.arange(256, dtype=np.uint32)[None, :] << np.array([[0], [8], [16], [24]], np.uint32)
+        push = [(lanes >> 8 ^ table[lanes & 0xFF]).astype(np.uint32)]
+        for _ in range(40):
+            push.append(_over(push[-1], push[-1]))
+        _tools["crc"] = (table, push)
     return _tools["crc"]
 
 
+def _over(tables: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    return tables[0][crc & 0xFF] ^ tables[1][crc >> 8 & 0xFF] ^ tables[2][crc >> 16 & 0xFF] ^ tables[3][crc >> 24]
+
+
 def crc32c(data: bytes) -> int:
-    table, crc = _crc_table(), 0xFFFFFFFF
-    for b in data:
-        crc = crc >> 8 ^ table[(crc ^ b) & 0xFF]
+    """Registers of equal stretches are run side by side, then joined two by two."""
+    table, push = _crc_tables()
+    level = max(0, (len(data) // 64).bit_length() - 1)
+    width = min(1 << level, 256)
+    level = width.bit_length() - 1
+    whole = len(data) // width * width
+    rows = np.frombuffer(data, np.uint8, whole).reshape(-1, width)
+    part = np.zeros(len(rows), np.uint32)
+    for k in range(width):
+        part = part >> 8 ^ table[(part ^ rows[:, k]) & 0xFF]
+    while len(part) > 1:
+        if len(part) % 2:  # zeros in front change nothing in a register that starts at 0
+            part = np.concatenate([np.zeros(1, np.uint32), part])
+        part = _over(push[level], part[0::2]) ^ part[1::2]
+        level += 1
+    crc, start, n = int(part[0]) if len(part) else 0, np.uint32(0xFFFFFFFF), whole
+    for k in range(n.bit_length()):
+        if n >> k & 1:
+            start = _over(push[k], np.array([start], np.uint32))[0]
+    crc ^= int(start)
+    for b in data[whole:]:
+        crc = crc >> 8 ^ int(table[(crc ^ b) & 0xFF])
     return crc ^ 0xFFFFFFFF
 
 
@@ -110,20 +138,23 @@ def _function(table: dict, codec: str) -> Callable[[bytes], bytes]:
     return table[codec]
 
 
-def compress(data: Column, codec: str) -> Column:
-    pack = _function(_PACK, codec)
-    if codec == "none":
-        return data.cast("binary")
+def compressor(codec: str) -> Callable[[Column], Column]:
+    """The codec as a column function: null for what it cannot compress."""
+    _function(_PACK, codec)
+    return lambda data: compress(data, codec, strict=False)
 
-    def run(x: pa.Array) -> pa.Array:
-        return pa.array([None if b is None else pack(b) for b in x.to_pylist()], pa.binary())
 
-    return F.arrow_udf(run, "binary")(data.cast("binary"))
+def compress(data: Column, codec: str, strict: bool = True) -> Column:
+    """The packed payload; without ``strict`` null where it cannot be packed."""
+    return _through(data, codec, _function(_PACK, codec), strict)
 
 
 def decompress(data: Column, codec: str, strict: bool = True) -> Column:
     """The payload; without ``strict`` null where it cannot be unpacked."""
-    unpack = _function(_UNPACK, codec)
+    return _through(data, codec, _function(_UNPACK, codec), strict)
+
+
+def _through(data: Column, codec: str, change: Callable[[bytes], bytes], strict: bool) -> Column:
     if codec == "none":
         return data.cast("binary")
 
@@ -131,7 +162,7 @@ def decompress(data: Column, codec: str, strict: bool = True) -> Column:
         if b is None:
             return None
         try:
-            return unpack(b)
+            return change(b)
         except Exception:
             if strict:
                 raise

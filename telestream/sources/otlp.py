@@ -1,231 +1,134 @@
 """Wire encodings of a batch: OTLP JSON in built-in functions, OTLP protobuf in Arrow.
 
-A batch is one row with a ``resources`` column of the signal's type; see ``nested``.
+A batch is one row with a ``resources`` column of the type ``nested(signal)``: the whole
+model of the protocol, every kind of value, point and attribute list. JSON expressions are
+derived from the model: ids are hexadecimal, 64-bit integers are strings, and fields that
+hold their default are left out. Unknown fields are skipped by both readers; what cannot be
+read gives null, or an error where ``strict``.
 """
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Callable
+from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ENCODINGS, ConfigError
+from . import wire
+from .model import DEFAULTS, LEVELS, MESSAGES, METRIC_KINDS, NESTED, TEMPORAL, camel, ddl, field_ddl, parts
 
-def nested(signal: str) -> str:
-    """DDL of a signal's resources."""
-    items = {"logs": "ts_ns: bigint, body: string, attrs: map<string,string>", "traces": "trace_id: string, span_id: string, name: string, start_ns: bigint, end_ns: bigint, attrs: map<string,string>", "metrics": "name: string, unit: string, kind: string, points: array<struct<ts_ns: bigint, start_ns: bigint, int_value: bigint, double_value: double, attrs: map<string,string>>>"}[signal]
-    return f"array<struct<attrs: map<string,string>, schema_url: string, scopes: array<struct<name: string, schema_url: string, items: array<struct<{items}>>>>>>"
+nested = ddl
+#: Bytes fields that JSON writes in hexadecimal (fixed by the format).
+IDS = ("trace_id", "span_id", "parent_span_id")
 
 
-#: JSON names of each signal's levels (fixed by the format).
-NAMES = {"logs": ("resourceLogs", "scopeLogs", "logRecords"), "traces": ("resourceSpans", "scopeSpans", "spans"), "metrics": ("resourceMetrics", "scopeMetrics", "metrics")}
-KINDS = ("gauge", "sum")
-
-
-def _pairs(m: Column) -> Column:
-    return F.transform(F.map_entries(m), lambda e: F.struct(e["key"].alias("key"), F.struct(e["value"].alias("stringValue")).alias("value")))
-
-
-def _map(pairs: Column) -> Column:
-    return F.map_from_entries(F.transform(F.coalesce(pairs, F.array()), lambda p: F.struct(p["key"], p["value"]["stringValue"])))
-
-
-def _text(c: Column) -> Column:
-    """64-bit integers are strings in the format."""
-    return c.cast("string")
-
-
-def _item(signal: str, x: Column) -> Column:
-    if signal == "logs":
-        return F.struct(_text(x["ts_ns"]).alias("timeUnixNano"), F.struct(x["body"].alias("stringValue")).alias("body"), _pairs(x["attrs"]).alias("attributes"))
-    if signal == "traces":
-        return F.struct(x["trace_id"].alias("traceId"), x["span_id"].alias("spanId"), x["name"].alias("name"), _text(x["start_ns"]).alias("startTimeUnixNano"), _text(x["end_ns"]).alias("endTimeUnixNano"), _pairs(x["attrs"]).alias("attributes"))
-    points = F.struct(F.transform(x["points"], lambda p: F.struct(_text(p["start_ns"]).alias("startTimeUnixNano"), _text(p["ts_ns"]).alias("timeUnixNano"), _text(p["int_value"]).alias("asInt"), p["double_value"].alias("asDouble"), _pairs(p["attrs"]).alias("attributes"))).alias("dataPoints"))
-    return F.struct(x["name"].alias("name"), x["unit"].alias("unit"), *[F.when(x["kind"] == k, points).alias(k) for k in KINDS])
+def build(message: str, **given: Column) -> Column:
+    """A message of the model: what is not given is its default, or absent."""
+    fields = []
+    for field, (_, kind) in MESSAGES[message].items():
+        many, mark, inner = parts(kind)
+        v = given.pop(field, None)
+        if v is None:
+            v = F.array() if many else F.lit(None) if mark or inner in MESSAGES else F.lit(DEFAULTS[inner])
+        fields.append(v.cast(field_ddl(kind)).alias(field))
+    if given:
+        raise ValueError(f"{message} has no field {', '.join(given)}")
+    return F.struct(*fields)
+
+
+# --- JSON --------------------------------------------------------------------------------
+def _scalar_out(field: str, kind: str, x: Column) -> Column:
+    if kind in ("fixed64", "sfixed64", "int64", "uint64"):
+        return x.cast("string")
+    if kind == "bytes":
+        return F.lower(F.hex(x)) if field in IDS else F.regexp_replace(F.base64(x), r"[\r\n]", "")
+    return x
+
+
+def _each(items: Column, change: Callable[[Column], Column]) -> Column:
+    return F.transform(items, lambda x: change(x))
+
+
+def _out(message: str, x: Column) -> Column:
+    """A message as a struct of its JSON names; absent and default fields are null."""
+    fields = []
+    for field, (_, kind) in MESSAGES[message].items():
+        many, mark, inner = parts(kind)
+        v = x[field]
+        if many:
+            made = _each(v, partial(_out, inner) if inner in MESSAGES else partial(_scalar_out, field, inner))
+            made = F.when(F.size(v) > 0, made)
+        elif inner in NESTED:
+            made = F.parse_json(v)
+        elif inner in MESSAGES:
+            made = F.when(v.isNotNull(), _out(inner, v))
+        else:
+            made = _scalar_out(field, inner, v)
+            made = made if mark else F.when(v != F.lit(DEFAULTS[inner]), made)
+        fields.append(made.alias(camel(field)))
+    return F.struct(*fields)
 
 
 def to_otlp_json(signal: str, resources: Column) -> Column:
-    top, mid, low = NAMES[signal]
-
-    def scope(s: Column) -> Column:
-        return F.struct(F.struct(s["name"].alias("name")).alias("scope"), F.transform(s["items"], lambda x: _item(signal, x)).alias(low), s["schema_url"].alias("schemaUrl"))
-
-    def resource(r: Column) -> Column:
-        return F.struct(F.struct(_pairs(r["attrs"]).alias("attributes")).alias("resource"), F.transform(r["scopes"], scope).alias(mid), r["schema_url"].alias("schemaUrl"))
-
-    return F.to_json(F.struct(F.transform(resources, resource).alias(top)))
-
-
-def _json_schema(signal: str) -> str:
-    top, mid, low = NAMES[signal]
-    attributes = "attributes: array<struct<key: string, value: struct<stringValue: string>>>"
-    points = f"struct<dataPoints: array<struct<startTimeUnixNano: string, timeUnixNano: string, asInt: string, asDouble: double, {attributes}>>>"
-    item = {"logs": f"timeUnixNano: string, body: struct<stringValue: string>, {attributes}", "traces": f"traceId: string, spanId: string, name: string, startTimeUnixNano: string, endTimeUnixNano: string, {attributes}", "metrics": f"name: string, unit: string, gauge: {points}, sum: {points}"}[signal]
-    return f"struct<{top}: array<struct<resource: struct<{attributes}>, {mid}: array<struct<scope: struct<name: string>, {low}: array<struct<{item}>>, schemaUrl: string>>, schemaUrl: string>>>"
+    request, top, _, _ = LEVELS[signal]
+    items = F.transform(resources, lambda r: _out(MESSAGES[request][top][1][1:], r))
+    return F.to_json(F.struct(items.alias(camel(top))))
+
+
+def _json_ddl(message: str) -> str:
+    made = []
+    for field, (_, kind) in MESSAGES[message].items():
+        many, _, inner = parts(kind)
+        one = _json_ddl(inner) if inner in MESSAGES and inner not in NESTED else {"double": "double", "bool": "boolean", "enum": "int", "sint32": "int", "uint32": "bigint", "fixed32": "bigint"}.get(inner, "string")
+        made.append(f"{camel(field)}: {f'array<{one}>' if many else one}")
+    return f"struct<{', '.join(made)}>"
+
+
+def _scalar_in(field: str, kind: str, x: Column) -> Column:
+    if kind in ("fixed64", "sfixed64", "int64", "uint64"):
+        return x.cast("bigint")
+    if kind == "bytes":
+        return F.unhex(x) if field in IDS else F.unbase64(x)
+    return x
+
+
+def _in(message: str, x: Column) -> Column:
+    """The message's row; absent fields get their default, absent choices stay null."""
+    fields = []
+    for field, (_, kind) in MESSAGES[message].items():
+        many, mark, inner = parts(kind)
+        v = x[camel(field)]
+        if many:
+            made = _each(v, partial(_in, inner) if inner in MESSAGES else partial(_scalar_in, field, inner))
+            made = F.coalesce(made, F.array())
+        elif inner in NESTED:
+            made = v
+        elif inner in MESSAGES:
+            made = F.when(v.isNotNull(), _in(inner, v))
+        else:
+            made = _scalar_in(field, inner, v)
+            made = made if mark else F.coalesce(made, F.lit(DEFAULTS[inner]).cast({"bytes": "binary"}.get(inner, "string")) if inner in ("bytes", "string") else F.lit(DEFAULTS[inner]))
+        fields.append(made.alias(field))
+    return F.struct(*fields)
 
 
 def from_otlp_json(signal: str, text: Column) -> Column:
     """The resources; null where the text is no such document."""
-    top, mid, low = NAMES[signal]
-    doc = F.from_json(text, _json_schema(signal), {"mode": "PERMISSIVE"})
-    n = lambda c: c.cast("long")
-
-    def item(x: Column) -> Column:
-        if signal == "logs":
-            return F.struct(n(x["timeUnixNano"]).alias("ts_ns"), x["body"]["stringValue"].alias("body"), _map(x["attributes"]).alias("attrs"))
-        if signal == "traces":
-            return F.struct(x["traceId"].alias("trace_id"), x["spanId"].alias("span_id"), x["name"].alias("name"), n(x["startTimeUnixNano"]).alias("start_ns"), n(x["endTimeUnixNano"]).alias("end_ns"), _map(x["attributes"]).alias("attrs"))
-        kind = F.when(x["gauge"].isNotNull(), "gauge").when(x["sum"].isNotNull(), "sum")
-        points = F.coalesce(x["gauge"]["dataPoints"], x["sum"]["dataPoints"], F.array())
-        return F.struct(x["name"].alias("name"), x["unit"].alias("unit"), kind.alias("kind"), F.transform(points, lambda p: F.struct(n(p["timeUnixNano"]).alias("ts_ns"), n(p["startTimeUnixNano"]).alias("start_ns"), n(p["asInt"]).alias("int_value"), p["asDouble"].alias("double_value"), _map(p["attributes"]).alias("attrs"))).alias("points"))
-
-    def scope(s: Column) -> Column:
-        return F.struct(s["scope"]["name"].alias("name"), s["schemaUrl"].alias("schema_url"), F.transform(s[low], item).alias("items"))
-
-    return F.transform(doc[top], lambda r: F.struct(_map(r["resource"]["attributes"]).alias("attrs"), r["schemaUrl"].alias("schema_url"), F.transform(r[mid], scope).alias("scopes")))
-
-
-# --- protobuf -----------------------------------------------------------------------
-#: Field numbers and kinds of the messages (fixed by the format). A kind is string, hex
-#: (bytes, kept as hex digits), fixed64, double, attrs, text (a string inside AnyValue),
-#: or the name of a message, repeated if it begins with *.
-MESSAGES: dict[str, dict[str, tuple[int, str]]] = {
-    "resource": {"attrs": (1, "attrs")},
-    "scope": {"name": (1, "string")},
-    "log": {"ts_ns": (1, "fixed64"), "body": (5, "text"), "attrs": (6, "attrs")},
-    "span": {"trace_id": (1, "hex"), "span_id": (2, "hex"), "name": (5, "string"), "start_ns": (7, "fixed64"), "end_ns": (8, "fixed64"), "attrs": (9, "attrs")},
-    "point": {"start_ns": (2, "fixed64"), "ts_ns": (3, "fixed64"), "double_value": (4, "double"), "int_value": (6, "fixed64"), "attrs": (7, "attrs")},
-    "data": {"points": (1, "*point")},
-    "metric": {"name": (1, "string"), "unit": (3, "string"), "gauge": (5, "data"), "sum": (7, "data")},
-}
-ITEM = {"logs": "log", "traces": "span", "metrics": "metric"}
-for _s, _m in ITEM.items():
-    MESSAGES[f"{_s}_scope"] = {"scope": (1, "scope"), "items": (2, f"*{_m}"), "schema_url": (3, "string")}
-    MESSAGES[f"{_s}_resource"] = {"resource": (1, "resource"), "scopes": (2, f"*{_s}_scope"), "schema_url": (3, "string")}
-    MESSAGES[f"{_s}_request"] = {"resources": (1, f"*{_s}_resource")}
-
-
-def _varint(n: int) -> bytes:
-    out = bytearray()
-    while n > 0x7F:
-        out.append(n & 0x7F | 0x80)
-        n >>= 7
-    out.append(n)
-    return bytes(out)
-
-
-def _block(number: int, data: bytes) -> bytes:
-    return _varint(number << 3 | 2) + _varint(len(data)) + data
-
-
-def encode_message(name: str, value: dict) -> bytes:
-    out = []
-    for field, (number, kind) in MESSAGES[name].items():
-        v = value.get(field)
-        if v is None:
-            continue
-        if kind == "string":
-            out.append(_block(number, v.encode()) if v else b"")
-        elif kind == "hex":
-            out.append(_block(number, bytes.fromhex(v)) if v else b"")
-        elif kind == "text":
-            out.append(_block(number, _block(1, v.encode())))
-        elif kind == "fixed64":
-            out.append(_varint(number << 3 | 1) + struct.pack("<q", v))
-        elif kind == "double":
-            out.append(_varint(number << 3 | 1) + struct.pack("<d", v))
-        elif kind == "attrs":
-            out += [_block(number, _block(1, k.encode()) + _block(2, _block(1, x.encode()))) for k, x in (v.items() if isinstance(v, dict) else v)]
-        elif kind[0] == "*":
-            out += [_block(number, encode_message(kind[1:], x)) for x in v]
-        else:
-            out.append(_block(number, encode_message(kind, v)))
-    return b"".join(out)
-
-
-def _fields(data: bytes):
-    at = 0
-    while at < len(data):
-        tag, at = _read(data, at)
-        number, wire = tag >> 3, tag & 7
-        if wire == 0:
-            v, at = _read(data, at)
-        elif wire == 1:
-            v, at = data[at : at + 8], at + 8
-        elif wire == 2:
-            n, at = _read(data, at)
-            v, at = data[at : at + n], at + n
-            if len(v) != n:
-                raise ValueError("a message ends early")
-        elif wire == 5:
-            v, at = data[at : at + 4], at + 4
-        else:
-            raise ValueError(f"unknown wire type {wire}")
-        yield number, v
-
-
-def _read(data: bytes, at: int) -> tuple[int, int]:
-    n = shift = 0
-    while True:
-        if at >= len(data) or shift > 63:
-            raise ValueError("a number ends early")
-        b = data[at]
-        n |= (b & 0x7F) << shift
-        at, shift = at + 1, shift + 7
-        if b < 0x80:
-            return n, at
-
-
-def decode_message(name: str, data: bytes) -> dict:
-    spec = {number: (field, kind) for field, (number, kind) in MESSAGES[name].items()}
-    out: dict = {f: ([] if k in ("attrs",) or k[0] == "*" else None) for f, k in spec.values()}
-    for number, v in _fields(data):
-        if number not in spec:
-            continue
-        field, kind = spec[number]
-        if kind == "string":
-            out[field] = v.decode()
-        elif kind == "hex":
-            out[field] = v.hex()
-        elif kind == "text":
-            out[field] = dict(_fields(v)).get(1, b"").decode()
-        elif kind in ("fixed64", "double"):
-            out[field] = struct.unpack("<q" if kind == "fixed64" else "<d", v)[0]
-        elif kind == "attrs":
-            pair = dict(_fields(v))
-            out[field].append((pair[1].decode(), dict(_fields(pair.get(2, b""))).get(1, b"").decode()))
-        elif kind[0] == "*":
-            out[field].append(decode_message(kind[1:], v))
-        else:
-            out[field] = decode_message(kind, v)
-    return out
-
-
-def _wrap(signal: str, resources: list) -> dict:
-    def item(x: dict) -> dict:
-        if signal != "metrics":
-            return x
-        return x | {x["kind"]: {"points": x["points"]}} if x["kind"] in KINDS else x
-
-    return {"resources": [{"resource": {"attrs": r["attrs"]}, "schema_url": r["schema_url"], "scopes": [{"scope": {"name": s["name"]}, "schema_url": s["schema_url"], "items": [item(x) for x in s["items"]]} for s in r["scopes"]]} for r in resources]}
-
-
-def _unwrap(signal: str, request: dict) -> list:
-    def item(x: dict) -> dict:
-        if signal != "metrics":
-            return x
-        kind = next((k for k in KINDS if x[k] is not None), None)
-        return {"name": x["name"] or "", "unit": x["unit"] or "", "kind": kind, "points": x[kind]["points"] if kind else []}
-
-    return [{"attrs": (r["resource"] or {"attrs": []})["attrs"], "schema_url": r["schema_url"] or "", "scopes": [{"name": (s["scope"] or {}).get("name") or "", "schema_url": s["schema_url"] or "", "items": [item(x) for x in s["items"]]} for s in r["scopes"]]} for r in request["resources"]]
+    request, top, _, _ = LEVELS[signal]
+    doc = F.from_json(text, _json_ddl(request), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    found = F.transform(doc[camel(top)], lambda r: _in(MESSAGES[request][top][1][1:], r)).cast(ddl(signal))
+    # a document of another kind has none of the fields, a broken one is no object
+    whole = F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{")
+    return F.when(whole, F.coalesce(found, F.array().cast(ddl(signal))))
 
 
+# --- protobuf ----------------------------------------------------------------------------
 def to_otlp_proto(signal: str, resources: Column) -> Column:
     def run(x: pa.Array) -> pa.Array:
-        return pa.array([None if r is None else encode_message(f"{signal}_request", _wrap(signal, r)) for r in x.to_pylist()], pa.binary())
+        return pa.array([None if r is None else wire.encode(signal, r) for r in x.to_pylist()], pa.binary())
 
     return F.arrow_udf(run, "binary")(resources)
 
@@ -235,11 +138,11 @@ def from_otlp_proto(signal: str, data: Column, strict: bool = True) -> Column:
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
 
-    kind = to_arrow_type(_parse_datatype_string(nested(signal)))
+    kind = to_arrow_type(_parse_datatype_string(ddl(signal)))
 
     def one(b: bytes | None):
         try:
-            return None if b is None else _unwrap(signal, decode_message(f"{signal}_request", b))
+            return None if b is None else wire.decode(signal, b)
         except Exception:
             if strict:
                 raise
@@ -248,20 +151,60 @@ def from_otlp_proto(signal: str, data: Column, strict: bool = True) -> Column:
     def run(x: pa.Array) -> pa.Array:
         return pa.array([one(b) for b in x.to_pylist()], kind)
 
-    return F.arrow_udf(run, nested(signal))(data)
+    return F.arrow_udf(run, ddl(signal))(data)
 
 
 _WRITE: dict[str, Callable] = {"otlp_json": lambda s, c: F.encode(to_otlp_json(s, c), "utf-8"), "otlp_proto": to_otlp_proto}
-_READ: dict[str, Callable] = {"otlp_json": lambda s, c: from_otlp_json(s, c.cast("string")), "otlp_proto": lambda s, c: from_otlp_proto(s, c, strict=False)}
+_READ: dict[str, Callable] = {"otlp_json": lambda s, c: from_otlp_json(s, F.try_validate_utf8(c.cast("string"))), "otlp_proto": lambda s, c: from_otlp_proto(s, c, strict=False)}
 
 
 def encoder(signal: str, encoding: str) -> Callable[[Column], Column]:
-    if encoding not in _WRITE or signal not in NAMES:
+    if encoding not in _WRITE or signal not in LEVELS:
         raise ConfigError(f"unknown encoding {encoding!r} of {signal!r}; known: {', '.join(ENCODINGS)}")
     return lambda c: _WRITE[encoding](signal, c)
 
 
 def decoder(signal: str, encoding: str) -> Callable[[Column], Column]:
-    if encoding not in _READ or signal not in NAMES:
+    if encoding not in _READ or signal not in LEVELS:
         raise ConfigError(f"unknown encoding {encoding!r} of {signal!r}; known: {', '.join(ENCODINGS)}")
     return lambda c: _READ[encoding](signal, c)
+
+
+# --- walks over a batch ------------------------------------------------------------------
+def each_kind(metric: Column, made: Callable[[str, Column], Column], none: Column) -> Column:
+    """``made(kind, data)`` of the kind that a metric has, ``none`` for a bare shell."""
+    out = none
+    for kind in reversed(METRIC_KINDS):
+        out = F.when(metric[kind].isNotNull(), made(kind, metric[kind])).otherwise(out)
+    return out
+
+
+def points(metric: Column) -> Column:
+    """The number of a metric's points, whatever its kind."""
+    return each_kind(metric, lambda k, d: F.coalesce(F.size(d["data_points"]), F.lit(0)), F.lit(0))
+
+
+def kind_of(metric: Column) -> Column:
+    return each_kind(metric, lambda k, d: F.lit(k), F.lit("empty"))
+
+
+def temporality(metric: Column) -> Column:
+    return each_kind(metric, lambda k, d: d["aggregation_temporality"] if k in TEMPORAL else F.lit(0), F.lit(0))
+
+
+def with_points(metric: Column, change: Callable[[Column], Column]) -> Column:
+    """The metric with its points changed, and all of its shell as it was."""
+    return with_kinds(metric, lambda kind, data: data.withField("data_points", change(data["data_points"])))
+
+
+def with_kinds(metric: Column, change: Callable[[str, Column], Column]) -> Column:
+    """The metric with the data of each kind changed; every change reads the metric as it was,
+    for expressions that read each other's results double with each of them."""
+    kinds = {k: F.when(metric[k].isNotNull(), change(k, metric[k])) for k in METRIC_KINDS}
+    return F.struct(*[(kinds[f] if f in kinds else metric[f]).alias(f) for f in MESSAGES["Metric"]])
+
+
+def read_jsonl(lines: DataFrame, signal: str, column: str = "value") -> DataFrame:
+    """(resources) of the lines of a JSON-lines file; blank and cut-off lines are skipped."""
+    rows = lines.filter(F.trim(column) != "").select(from_otlp_json(signal, F.col(column)).alias("resources"))
+    return rows.filter("resources IS NOT NULL")
