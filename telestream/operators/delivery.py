@@ -5,18 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.outcomes import OK, RETRY, SKIP, outcome
+from ..functions.outcomes import RETRY
 from ..functions.text import base64_line
 
 DEAD_LETTER = "kinesis.dead_letter"
 
 
-def with_outcomes(records: DataFrame) -> DataFrame:
-    """Adds outcome and failure_class from unpacked, decoded and error."""
-    result, dead = outcome(F.col("unpacked"), F.col("decoded"), F.col("error"))
-    return records.withColumns({"outcome": result, "failure_class": dead})
-
-
 def checkpoint_prefix(records: DataFrame, page: list[str], seq: str = "seq") -> DataFrame:
     """(page, checkpoint, stuck): the last sequence before the first Retry of each page.
 
@@ -68,6 +62,3 @@ def audit(expected: DataFrame, delivered: DataFrame, ids: list[str]) -> DataFram
     out = both.agg(F.count("*").alias("expected"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("delivered"), F.count("n").alias("unique_ids"))
     loss, dupes = F.col("expected") - F.col("unique_ids"), F.col("delivered") - F.col("unique_ids")
     return out.select("expected", "delivered", "unique_ids", loss.alias("loss"), dupes.alias("dupes"), dup_tolerance(F.col("expected")).alias("tolerance"), ((loss == 0) & (dupes <= dup_tolerance(F.col("expected")))).alias("within"))
-
-
-__all__ = ["OK", "SKIP", "RETRY", "audit", "checkpoint_prefix", "dead_letters", "dup_tolerance", "stuck_runs", "with_outcomes"]

@@ -34,13 +34,14 @@ def share(shards: Column, workers: Column) -> Column:
 
 
 def targets(leases: DataFrame, workers: DataFrame) -> DataFrame:
-    """(self, shards, workers, target) for each row of ``workers`` (self)."""
+    """(self, shards, workers, target) for each row of ``workers`` (self): the share counts
+    the owners with a fresh lease, and the worker itself."""
     live = active(leases)
     owners = live.filter((F.col("owner") != "") & F.col("fresh")).select("owner").distinct()
-    # one row of totals and the list of owners: as many as there are workers
-    totals = live.agg(F.count("*").alias("shards")).crossJoin(owners.agg(F.collect_list("owner").alias("owners")))
-    found = workers.select("self").crossJoin(F.broadcast(totals))
-    n = F.size(F.array_union("owners", F.array("self")))
+    # two totals: one row, whatever the tables hold
+    totals = live.agg(F.count("*").alias("shards")).crossJoin(owners.agg(F.count("*").alias("_owners")))
+    found = workers.select("self").join(owners.select(F.col("owner").alias("self"), F.lit(1).alias("_in")), "self", "left").crossJoin(totals)
+    n = F.col("_owners") + F.when(F.col("_in").isNull(), 1).otherwise(0)
     return found.select("self", "shards", n.cast("long").alias("workers"), share(F.col("shards"), n).alias("target"))
 
 
@@ -49,7 +50,9 @@ def steal_targets(leases: DataFrame, goal: DataFrame) -> DataFrame:
     target, ties to the lowest owner; null where that peer has no drained shard."""
     held = active(leases).filter((F.col("owner") != "") & F.col("fresh"))
     peers = held.groupBy("owner").agg(F.count("*").alias("n"), F.min(F.when(F.col("drained"), F.col("shard_id"))).alias("shard_id"))
-    over = goal.join(peers, (F.col("owner") != F.col("self")) & (F.col("n") > F.col("target")))
+    # whoever a worker is, its fullest peer is one of the first two: two rows
+    two = peers.orderBy(F.desc("n"), "owner").limit(2)
+    over = goal.crossJoin(two).filter((F.col("owner") != F.col("self")) & (F.col("n") > F.col("target")))
     best = over.groupBy("self").agg(F.min(F.struct((-F.col("n")).alias("n"), "owner", "shard_id")).alias("b"))
     return best.select("self", "b.owner", "b.shard_id")
 
@@ -59,22 +62,29 @@ def plan_actions(leases: DataFrame, workers: DataFrame) -> DataFrame:
 
     A worker above its target releases the highest shards; one below it acquires drained
     shards that are free, stale or its own, up to its target, and steals one if it is
-    still short."""
+    still short. Shards are ranked once, among those of their owner and among the free ones,
+    and workers meet them by owner and by rank, so that no worker meets every shard."""
     goal = targets(leases, workers)
-    rows = active(leases).join(F.broadcast(goal), F.lit(True))
-    mine = owned_by(F.col("self"))
-    free = ~mine & F.col("drained") & ((F.col("owner") == "") | ~F.col("fresh"))
-    by_worker = Window.partitionBy("self")
-    rows = rows.withColumns({"mine": mine, "free": free})
-    rows = rows.withColumns({"held": F.count_if(F.col("mine")).over(by_worker), "open": F.count_if(F.col("free")).over(by_worker)})
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("self", "mine", "free").orderBy("shard_id")))
-    want = F.col("target") - F.col("held")
-    release = F.col("mine") & (F.col("held") > F.col("target")) & (F.col("place") > F.col("target"))
-    acquire = F.col("free") & (want > 0) & (F.col("place") <= want)
-    moves = rows.withColumn("action", F.when(release, "release").when(acquire, "acquire")).filter(F.col("action").isNotNull())
-    short = rows.select("self", (F.col("target") - F.col("held") - F.col("open")).alias("short")).distinct().filter("short > 0")
+    rows = active(leases)
+    mine = rows.filter("owner <> ''").select(F.col("owner").alias("self"), "shard_id", F.row_number().over(Window.partitionBy("owner").orderBy("shard_id")).alias("place"))
+    held = mine.groupBy("self").agg(F.count("*").alias("held"))
+    # free for all but their owner: stale ones are still theirs
+    free = rows.filter(F.col("drained") & ((F.col("owner") == "") | ~F.col("fresh")))
+    free = free.select("owner", "shard_id", F.row_number().over(Window.orderBy("shard_id")).alias("place"))
+    stale = free.filter("owner <> ''").groupBy(F.col("owner").alias("self")).agg(F.count("*").alias("stale"))
+    count = free.agg(F.count("*").alias("free"))
+    wants = goal.join(held, "self", "left").join(stale, "self", "left").crossJoin(count).na.fill(0, ["held", "stale"])
+    wants = wants.withColumn("want", F.col("target") - F.col("held"))
+    release = mine.join(wants, "self").filter((F.col("held") > F.col("target")) & (F.col("place") > F.col("target"))).select("self", "shard_id")
+    # the first that a worker may take are among the first ``want`` and its own stale ones
+    reach = F.least(F.col("want") + F.col("stale"), F.col("free"))
+    asked = wants.filter("want > 0 AND free > 0").select("self", "want", F.explode(F.sequence(F.lit(1).cast("long"), reach)).alias("place"))
+    taken = asked.join(free.withColumn("place", F.col("place").cast("long")), "place").filter("owner <> self")
+    taken = taken.withColumn("turn", F.row_number().over(Window.partitionBy("self").orderBy("place"))).filter("turn <= want")
+    moves = release.select("self", F.lit("release").alias("action"), "shard_id").unionByName(taken.select("self", F.lit("acquire").alias("action"), "shard_id"))
+    short = wants.filter("want - (free - stale) > 0").select("self")
     steal = steal_targets(leases, goal).join(short, "self").filter("shard_id IS NOT NULL")
-    return moves.select("self", "action", "shard_id").unionByName(steal.select("self", F.lit("steal").alias("action"), "shard_id"))
+    return moves.unionByName(steal.select("self", F.lit("steal").alias("action"), "shard_id"))
 
 
 def discover(shards: DataFrame, leases: DataFrame) -> DataFrame:
@@ -111,21 +121,23 @@ def _state(exists, owner, counter, checkpoint, ok, conflict, missing) -> Column:
 
 
 def apply_writes(ops: DataFrame, shard: str, order: str) -> DataFrame:
-    """Folds fenced writes (kind, owner, lag, seq) of each shard in order.
+    """Folds fenced writes (kind, owner, expected, seq) of each shard in order.
 
-    ``lag`` is how far the writer's view of the counter is behind; only 0 passes the fence.
-    ensure creates; acquire needs the counter; heartbeat, checkpoint and release need
+    ``expected`` is the counter that the writer saw; only the counter as it is passes the
+    fence. ensure creates; acquire needs the counter; heartbeat, checkpoint and release need
     owner and counter; delete needs the counter and forgives an absent lease. A write that
     fails leaves the lease as it was. Counted are writes that took effect, conflicts, and
-    writes to a lease that is not there.
+    writes to a lease that is not there. The state of the fold is one lease, and a shard's
+    history is a row: cut histories by time, or fold them with ``observe`` as they arrive,
+    where they have no end.
     """
-    item = F.struct(F.col(order).alias("o"), "kind", "owner", "lag", "seq")
+    item = F.struct(F.col(order).alias("o"), "kind", "owner", "expected", "seq")
     rows = ops.groupBy(shard).agg(F.sort_array(F.collect_list(item)).alias("ops"))
     none = _state(F.lit(False), F.lit(""), F.lit(0), F.lit(TRIM_HORIZON), F.lit(0), F.lit(0), F.lit(0))
 
     def step(s: Column, x: Column) -> Column:
         kind = x["kind"]
-        fence = (x["lag"] == 0) & (kind.isin("acquire", "delete") | (s["owner"] == x["owner"]))
+        fence = (x["expected"] == s["counter"]) & (kind.isin("acquire", "delete") | (s["owner"] == x["owner"]))
         keep = _state(s["exists"], s["owner"], s["counter"], s["checkpoint"], s["ok"], s["conflicts"], s["missing"])
         made = _state(F.lit(True), F.lit(""), F.lit(0), F.lit(TRIM_HORIZON), s["ok"] + 1, s["conflicts"], s["missing"])
         gone = _state(F.lit(False), F.lit(""), F.lit(0), F.lit(TRIM_HORIZON), s["ok"] + 1, s["conflicts"], s["missing"])

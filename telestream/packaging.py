@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship(spark: SparkSession) -> None:
@@ -35,3 +37,28 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file:/tmp/checkpoints/telestream"
     return found.rstrip("/")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over as many partitions as there are cores, where a small file would leave
+    costly work per row to one of them; large tables have more partitions and stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The table, written under the shared folder and read again, so that what follows does
+    not compute it twice and a lost executor costs no more than its own tasks. Removed when
+    the driver's Python ends."""
+    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the JVM may have ended before Python does
+        pass

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from .packaging import ship
 
-LOG = "batch_id long, i long, j long, k long, res map<string,string>, body string, attrs map<string,string>, data string"
-RECORD = "shard_id string, seq long, partition_key string, data binary, encoding string, codec string"
+RECORD = "shard_id string, seq long, partition_key string, data binary"
 LEASE = "shard_id string, owner string, counter long, checkpoint string, parents array<string>"
 TRIM_HORIZON, SHARD_END = "TRIM_HORIZON", "SHARD_END"
 
@@ -42,14 +41,6 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(F.lit(0).cast("long").alias("batch_id"), F.col("o_custkey").alias("i"), F.lit(0).cast("long").alias("j"), F.col("l_orderkey").alias("trace"), F.col("l_linenumber").alias("span"), F.col("o_orderpriority").alias("name"), attrs(cust=F.col("o_custkey")).alias("res"), attrs(flag=F.col("l_returnflag")).alias("attrs"))
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream records with the facts that decide their outcome."""
-    e = table(spark, sf_dir, "events")
-    shard = F.format_string("shard-%03d", F.col("user_id") % 4)
-    error = F.when(F.col("event_type") == "error", "transient").when(F.col("event_type") == "signup", "permanent")
-    return e.select(shard.alias("shard_id"), F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("partition_key"), F.encode("props", "utf-8").alias("data"), (F.col("event_id") % 13 != 0).alias("unpacked"), (F.col("event_id") % 17 != 0).alias("decoded"), error.alias("error"))
-
-
 def leases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as shards under regions, with an owner, its freshness and its checkpoint."""
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("key"), F.col("n_regionkey").alias("parent"))

@@ -1,40 +1,13 @@
+import itertools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from telestream.config import KeySource
-from telestream.operators import delivery, grouping, leases, oversize, reports, sending
+from telestream.functions import outcomes
+from telestream.operators import delivery, leases, oversize, reports, sending
 from telestream.schema import SHARD_END, TRIM_HORIZON
-
-
-def test_groups_keep_every_item_and_shell(spark):
-    rows = [(i, j, k, {"svc": "AB"[i % 2]}, f"s{j}", {"n": str(k % 3)}) for i in range(4) for j in range(2) for k in range(5)]
-    df = spark.createDataFrame(rows, "i long, j long, k long, res map<string,string>, scope string, attrs map<string,string>")
-    x = grouping.keyed(df, (KeySource(name="svc"), KeySource("datapoint", "n")))
-    out = grouping.group_by_leaf(x, [("i", ["res"]), ("j", ["scope"])], ["attrs"], "k").collect()
-    assert len(out) == 6
-    total = 0
-    for r in out:
-        for res in r["items"]:
-            assert res["res"]["svc"] == r["tag"].split("\u001f")[0]
-            for s in res["items"]:
-                assert [x["_order"] for x in s["items"]] == sorted(x["_order"] for x in s["items"])
-                total += len(s["items"])
-    assert total == len(rows)
-
-
-def test_blocks_group_in_first_seen_order(spark):
-    df = spark.createDataFrame([(0, {"svc": "B"}, "x"), (1, {"svc": "A"}, "y"), (2, {"svc": "B"}, "z")], "pos long, res map<string,string>, b string")
-    out = grouping.group_by_resource(df, (KeySource(name="svc"),), F.col("b")).orderBy("first").collect()
-    assert [(r["tag"], r["blocks"]) for r in out] == [("B", ["x", "z"]), ("A", ["y"])]
-
-
-def test_unnest_keeps_empty_metrics(spark):
-    df = spark.createDataFrame([(1, [([1, 2],), ([],)])], "b long, metrics array<struct<points: array<int>>>").select("b", F.col("metrics.points").alias("points"))
-    assert grouping.unnest(df, ["points"]).count() == 2
-    flat = df.select("b", F.explode("points").alias("p"))
-    assert grouping.unnest(flat, ["p"], outer=True).count() == 3 and grouping.unnest(flat, ["p"]).count() == 2
+from telestream.streaming import receiver
 
 
 def halve(sizes, limit, attempts, lo=0, hi=None, depth=0):
@@ -52,17 +25,17 @@ def halve(sizes, limit, attempts, lo=0, hi=None, depth=0):
 def test_halving_matches_recursion(spark):
     rng = random.Random(1)
     cases = [[rng.randrange(1, 12) for _ in range(rng.randrange(1, 20))] for _ in range(40)]
-    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, s array<int>")
+    df = spark.createDataFrame([(i, list(itertools.accumulate(c))) for i, c in enumerate(cases)], "i int, upto array<long>")
     for limit, attempts in ((10, 8), (10, 2)):
-        got = df.select("i", oversize.split_ranges(F.col("s"), limit, attempts).alias("r")).orderBy("i").collect()
-        for r, c in zip(got, cases):
-            assert [(x["lo"], x["hi"], x["depth"], x["outcome"]) for x in r["r"]] == halve(c, limit, attempts)
+        got = oversize.split_ranges(df, "upto", limit, attempts).select("i", "r").collect()
+        for i, c in enumerate(cases):
+            assert sorted((x["r"]["lo"], x["r"]["hi"], x["r"]["depth"], x["r"]["outcome"]) for x in got if x["i"] == i) == halve(c, limit, attempts)
 
 
 def test_chunks_close_by_count_and_bytes(spark):
-    got = spark.range(1).select(sending.chunk_numbers(F.array(*map(F.lit, (3, 3, 3, 9, 1))), 2, 7)).first()[0]
-    assert got == [0, 0, 1, 2, 3]
-    assert spark.range(1).select(sending.chunk_numbers(F.array().cast("array<int>"), 2, 7)).first()[0] == []
+    got = spark.range(1).select(sending.chunks(F.array(*map(F.lit, (3, 3, 3, 9, 1))), 2, 7)).first()[0]
+    assert [tuple(x) for x in got] == [(2, 6), (1, 3), (1, 9), (1, 1)]
+    assert spark.range(1).select(sending.chunks(F.array().cast("array<int>"), 2, 7)).first()[0] == []
 
 
 def test_only_transient_entries_are_put_again(spark):
@@ -79,12 +52,17 @@ def test_checkpoint_stops_before_the_first_retry(spark):
     assert got == {"a": (2, False), "b": (None, True), "c": (5, False)}
 
 
+def judged(df):
+    result, dead = outcomes.outcome(F.col("unpacked"), F.col("decoded"), F.col("error"))
+    return df.withColumns({"outcome": result, "failure_class": dead})
+
+
 @pytest.mark.parametrize("signal, column", [("traces", "name"), ("metrics", "metric"), ("logs", "body")])
 def test_dead_letters_have_six_attributes(spark, signal, column):
     df = spark.createDataFrame([("s", 1, "k", bytearray(b"x" * 100), True, False, None)], "shard_id string, seq long, partition_key string, data binary, unpacked boolean, decoded boolean, error string")
-    got = delivery.dead_letters(delivery.with_outcomes(df), signal, "otlp_json", "gzip").collect()
+    got = delivery.dead_letters(judged(df), signal, "otlp_json", "gzip").collect()
     assert got[0][column] == "kinesis.dead_letter" and len(got[0]["attrs"]) == 6 and "\n" not in got[0]["attrs"]["kinesis.raw"]
-    assert delivery.dead_letters(delivery.with_outcomes(df), signal, "otlp_json", "gzip", enabled=False).count() == 0
+    assert delivery.dead_letters(judged(df), signal, "otlp_json", "gzip", enabled=False).count() == 0
 
 
 def lease_table(spark, rows):
@@ -120,9 +98,22 @@ def test_plan_cases(spark):
     assert plan(spark, some) == [("acquire", "a"), ("steal", "b")]
 
 
+def test_plans_of_workers_on_snapshots_agree(spark):
+    """The plan of a snapshot on the driver and that of tables are one rule."""
+    rng = random.Random(3)
+    for _ in range(6):
+        rows = [(f"s{i:02d}", rng.choice(["", "w1", "w1", "w2", "w3"]), SHARD_END if rng.random() < 0.1 else TRIM_HORIZON, [f"s{rng.randrange(14):02d}"] if rng.random() < 0.3 else [], rng.random() < 0.7) for i in range(rng.randrange(1, 14))]
+        ends = {r[0]: r[2] == SHARD_END for r in rows}
+        workers = ["w1", "w2", "w9"]
+        t = leases.with_drained(lease_table(spark, rows))
+        got = sorted((r["self"], r["action"], r["shard_id"]) for r in leases.plan_actions(t, spark.createDataFrame([(w,) for w in workers], "self string")).collect())
+        snapshot = [receiver.Row(s, o, c == SHARD_END, f, all(ends.get(p, True) for p in ps)) for s, o, c, ps, f in rows]
+        assert got == sorted((w, a, s) for w in workers for a, s in receiver.plan(snapshot, w))
+
+
 def test_fenced_writes(spark):
-    ops = [("ensure", "", 0), ("acquire", "x", 0), ("heartbeat", "y", 0), ("checkpoint", "x", 1), ("checkpoint", "x", 0), ("release", "x", 0), ("delete", "", 1), ("delete", "", 0), ("delete", "", 0), ("heartbeat", "x", 0)]
-    df = spark.createDataFrame([("s", i, k, o, lag, str(i)) for i, (k, o, lag) in enumerate(ops)], "shard string, n long, kind string, owner string, lag int, seq string")
+    ops = [("ensure", "", 0), ("acquire", "x", 0), ("heartbeat", "y", 1), ("checkpoint", "x", 0), ("checkpoint", "x", 1), ("release", "x", 2), ("delete", "", 1), ("delete", "", 3), ("delete", "", 0), ("heartbeat", "x", 0)]
+    df = spark.createDataFrame([("s", i, k, o, n, str(i)) for i, (k, o, n) in enumerate(ops)], "shard string, n long, kind string, owner string, expected long, seq string")
     r = leases.apply_writes(df, "shard", "n").first()
     assert (r["exists"], r["ok"], r["conflicts"], r["missing"]) == (False, 5, 3, 1)
 
