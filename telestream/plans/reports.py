@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from ..config import CODECS
-from ..functions import text
-from ..operators import reports
-from ..packaging import shared_dir
-from ..schema import logs, table
+from ..config import CODECS, ENCODINGS, REJECT, SPLIT, TRUNCATE, KeySource, ReaderConfig, WriterConfig
+from ..functions import text, values
+from ..operators import exporting, reports
+from ..packaging import shared_dir, ship, spread, written
+from ..schema import table
 from ..sources import codecs, generate, otlp
+from ..streaming import pipeline, receiver
+from . import batches
+from .grouping import METRIC, _cut_sql, _xxh64_sql
+from .stream import READER
 
 
 def percentile_nearest_rank(spark, d):
@@ -26,31 +31,35 @@ def histogram_batch_bytes(spark, d):
 
 
 def codec_ratio(spark, d):
-    x = table(spark, d, "documents").select("lang", F.encode("text", "utf-8").alias("data"))
+    """Each codec over all texts: bytes in, whether every text comes back, and whether the
+    codec made the whole smaller."""
+    x = spread(table(spark, d, "documents").select(F.encode("text", "utf-8").alias("data")))
     out = x
     for c in CODECS:
         packed = codecs.compress(F.col("data"), c)
         out = out.withColumn(f"c_{c}", packed).withColumn(f"b_{c}", codecs.decompress(F.col(f"c_{c}"), c) == F.col("data"))
-    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("codec"), F.length("data").alias("raw"), F.length(f"c_{c}").alias("packed"), F.col(f"b_{c}").alias("same")) for c in CODECS]))
-    sums = out.select(rows.alias("x")).groupBy("x.codec").agg(F.sum("x.raw").alias("raw"), F.sum("x.packed").alias("packed"), F.count("*").alias("n"), F.bool_and("x.same").alias("lossless"))
-    return sums.select("codec", "raw", "packed", "lossless", *[c.alias(k) for k, c in reports.ratios(F.col("raw"), F.col("packed"), F.col("n")).items()])
+    sums = out.agg(F.sum(F.length("data")).alias("raw"), F.count("*").alias("n"), *[F.sum(F.length(f"c_{c}")).alias(f"p_{c}") for c in CODECS], *[F.bool_and(f"b_{c}").alias(f"b_{c}") for c in CODECS])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("codec"), F.col(f"p_{c}").alias("packed"), F.col(f"b_{c}").alias("lossless")) for c in CODECS]))
+    sums = sums.select("raw", "n", rows.alias("x")).select("raw", "n", "x.*")
+    ratio = reports.ratios(F.col("raw"), F.col("packed"), F.col("n"))
+    return sums.select("codec", "raw", "n", "lossless", (ratio["compression_ratio"] > 1).alias("smaller"), ratio["raw_bytes_per_record"].alias("raw_bytes_per_record"))
 
 
 def _batches(spark, d):
-    """Log batches of a user: one resource, one scope."""
-    item = F.struct(F.col("k").alias("ts_ns"), F.col("body"), F.col("attrs"))
-    x = logs(spark, d).groupBy("i").agg(F.first("res").alias("res"), F.sort_array(F.collect_list(F.struct(F.col("k").alias("ts_ns"), "body", F.map_entries("attrs").alias("e")))).alias("e"))
-    del item
-    items = F.transform("e", lambda e: F.struct(e["ts_ns"].alias("ts_ns"), e["body"].alias("body"), F.map_from_entries(e["e"]).alias("attrs")))
-    scope = F.struct(F.lit("events").alias("name"), F.lit("").alias("schema_url"), items.alias("items"))
-    return x.select("i", F.size("e").cast("long").alias("n"), F.array(F.struct(F.col("res").alias("attrs"), F.lit("").alias("schema_url"), F.array(scope).alias("scopes"))).alias("resources"))
+    return (("logs", batches.log_batches(spark, d)), ("traces", batches.span_batches(spark, d)), ("metrics", batches.metric_batches(spark, d)))
 
 
 def _round_trip(spark, d, encoding):
-    x = _batches(spark, d).withColumn("data", otlp.encoder("logs", encoding)(F.col("resources")))
-    x = x.withColumn("back", otlp.decoder("logs", encoding)(F.col("data")))
-    flat = lambda c: F.to_json(F.struct(F.col(c).alias("r")))
-    return x.agg(F.count("*").alias("batches"), F.sum("n").alias("items"), F.count_if(flat("resources") == flat("back")).alias("equal"))
+    """Batches and items of each signal, and how many batches come back equal in every field."""
+    out = None
+    for signal, x in _batches(spark, d):
+        x = x.withColumn("data", otlp.encoder(signal, encoding)(F.col("resources")))
+        x = x.withColumn("back", otlp.decoder(signal, encoding)(F.col("data")))
+        flat = lambda c: F.to_json(F.struct(F.col(c).alias("r")))
+        x = x.agg(F.count("*").alias("batches"), F.sum(exporting.item_count(signal, F.col("back"))).alias("items"), F.count_if(flat("resources") == flat("back")).alias("equal"))
+        x = x.select(F.lit(signal).alias("signal"), "*")
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 def otlp_json_roundtrip(spark, d):
@@ -61,17 +70,153 @@ def otlp_proto_roundtrip(spark, d):
     return _round_trip(spark, d, "otlp_proto")
 
 
-def report_pivot(spark, d):
-    x = table(spark, d, "lineitem").groupBy(F.lower("l_returnflag").alias("codec"), F.lower("l_linestatus").alias("enc")).agg(F.count("*").alias("n"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("cents"))
-    wide = x.groupBy("codec").pivot("enc", ["f", "o"]).agg(F.first(text.show_bytes(F.col("n"))).alias("total"), F.first(text.show_per_record(F.col("n").cast("double"))).alias("per_record"), F.first("cents").alias("cents"))
-    return wide.na.fill("—")
+def wire_matrix(spark, d):
+    """Every signal through every encoding and codec: payloads written, read back, delivered."""
+    out = None
+    for signal, x in _batches(spark, d):
+        x = written(spark, x, "batches")
+        for e in ENCODINGS:
+            raw = written(spark, x.select(otlp.encoder(signal, e)(F.col("resources")).alias("raw")), "raw")
+            for c in CODECS:
+                config = ReaderConfig(stream_name="s", region="r", encoding=e, compression=c)
+                sent = raw.select(F.lit("a").alias("shard_id"), F.lit(1).cast("long").alias("seq"), F.lit("k").alias("partition_key"), codecs.compress(F.col("raw"), c).alias("data"))
+                got = receiver.read_records(sent, signal, config, lambda rows: F.lit(None).cast("string"))
+                n = got.agg(F.count_if(F.col("outcome") == "OK").alias("delivered"), F.sum(exporting.item_count(signal, F.col("resources"))).alias("items"))
+                n = n.select(F.lit(signal).alias("signal"), F.lit(e).alias("encoding"), F.lit(c).alias("codec"), "*")
+                out = n if out is None else out.unionByName(n)
+    return out
+
+
+# --- the write path ----------------------------------------------------------------------
+WRITER = WriterConfig(stream_name="s", region="r", encoding="otlp_json", compression="none", strategy="tag_hash", policies=(REJECT,))
+TYPE = KeySource("datapoint", "k")
+
+
+def _exported(spark, d):
+    config = replace(WRITER, keys=(TYPE,), max_record_size=1200, max_records=20, max_bytes=16_000)
+    return exporting.export_logs(batches.log_batches(spark, d), config)
+
+
+def export_logs(spark, d):
+    """The requests of log batches keyed by an attribute: payloads measured as JSON, chunked in
+    the order in which each batch shows its groups."""
+    return _exported(spark, d).requests
+
+
+def export_drops(spark, d):
+    """What the writer counts: records dropped by reason, and requests with their sums."""
+    return exporting.writer_figures(_exported(spark, d))
+
+
+def export_keys(spark, d):
+    """The payloads' keys of all three signals, and the items behind each key."""
+    plans = {"logs": KeySource(name="user"), "traces": KeySource("datapoint", "flag"), "metrics": KeySource("metric_name")}
+    out = None
+    for signal, x in _batches(spark, d):
+        config = replace(WRITER, encoding="otlp_proto", compression="zstd", keys=(plans[signal],))
+        made = exporting.export(x, signal, config).records
+        made = made.groupBy("tag", "partition_key").agg(F.count("*").alias("payloads"), F.sum("items").alias("items")).select(F.lit(signal).alias("signal"), "*")
+        out = made if out is None else out.unionByName(made)
+    return out
+
+
+def export_split(spark, d):
+    """Texts as batches of a log record per line, halved until their JSON fits: payloads and
+    lines that were shipped, and lines that were lost by reason."""
+    config = replace(WRITER, strategy="random", policies=(SPLIT,), max_attempts=4, max_record_size=2000)
+    x = exporting.export_logs(batches.line_batches(spark, d), config)
+    shipped = x.records.agg(F.count("*").alias("payloads"), F.sum("items").alias("items"), F.sum(F.length("data")).alias("bytes")).select(F.lit("shipped").alias("outcome"), "*")
+    lost = x.drops.groupBy(F.col("reason").alias("outcome")).agg(F.lit(0).cast("long").alias("payloads"), F.sum("n").alias("items"), F.lit(0).cast("long").alias("bytes"))
+    return shipped.unionByName(lost)
+
+
+def chain_outcomes(spark, d):
+    """Texts as batches of one record with the text as an attribute, through four chains:
+    payloads and bytes that were shipped, records lost by reason, attributes cut."""
+    out = None
+    for name, policies in (("truncate_reject", (TRUNCATE, REJECT)), ("truncate_split", (TRUNCATE, SPLIT)), ("truncate", (TRUNCATE,)), ("split", (SPLIT,))):
+        config = replace(WRITER, strategy="random", policies=policies, max_record_size=3000, max_attribute_value_bytes=2900)
+        x = exporting.export_logs(batches.text_batches(spark, d), config)
+        rows = x.records.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("data")), F.lit(0)).alias("bytes")).select(F.lit("shipped").alias("outcome"), "n", "bytes")
+        rows = rows.unionByName(x.drops.groupBy(F.col("reason").alias("outcome")).agg(F.sum("n").alias("n"), F.lit(0).cast("long").alias("bytes")))
+        rows = rows.unionByName(x.clamped.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit("clamped").alias("outcome"), "n", F.lit(0).cast("long").alias("bytes")))
+        rows = rows.select(F.lit(name).alias("chain"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def truncate_levels(spark, d):
+    """Attributes over a bound at every level of every signal, and what is left over it."""
+    out = None
+    for signal, x in _batches(spark, d):
+        made, n = exporting.truncate(signal, F.col("resources"), 3)
+        x = x.select(made.alias("made"), n.alias("n"))
+        _, left = exporting.truncate(signal, F.col("made"), 3)
+        x = x.agg(F.sum("n").alias("cut"), F.sum(left).alias("left_over")).select(F.lit(signal).alias("signal"), "*")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+# --- reports -----------------------------------------------------------------------------
+def report_summary(spark, d):
+    """The summary of encoding benchmarks as the report shows it, from result lines."""
+    return reports.summary(reports.parse_lines(_lines(spark)), "Encode", "metrics", "balanced")
+
+
+def span_identity(spark, d):
+    """Spans as they are read back from payloads: counted, and by trace and span id."""
+    x = batches.span_batches(spark, d).select(otlp.encoder("traces", "otlp_proto")(F.col("resources")).alias("w"))
+    x = x.select(otlp.decoder("traces", "otlp_proto")(F.col("w")).alias("r")).select(F.explode("r").alias("r")).select(F.explode("r.scope_spans").alias("s")).select(F.explode("s.spans").alias("x"))
+    ids = F.concat("x.trace_id", "x.span_id")
+    return x.agg(F.count("*").alias("spans"), F.countDistinct(ids).alias("unique_ids"), F.min(F.length(ids)).alias("id_bytes"), F.count_if(F.length("x.parent_span_id") > 0).alias("children"), F.sum(F.size("x.events")).alias("events"), F.sum(F.size("x.links")).alias("links"))
+
+
+def jsonl_tally(spark, d):
+    """Generated points as JSON lines, among blank and cut-off ones, read back and tallied:
+    points, instances, namespaces, and points that break the rule that ties the two."""
+    p = generate.line_points(spark)
+    at = F.array(values.pair("instance", values.text_value(F.col("instance"))), values.pair("namespace", values.text_value(text.namespace_of(F.col("measurement")))))
+    point = otlp.build("NumberDataPoint", as_double=F.col("value"), time_unix_nano=F.col("ts_ns"), attributes=at)
+    metric = otlp.build("Metric", name=F.col("measurement"), gauge=otlp.build("Gauge", data_points=F.array(point)))
+    own = otlp.build("ResourceMetrics", scope_metrics=F.array(otlp.build("ScopeMetrics", metrics=F.array(metric))))
+    line = otlp.to_otlp_json("metrics", F.array(own))
+    line = F.when(F.col("i") % 50 == 7, F.substring(line, 1, 40)).when(F.col("i") % 50 == 8, "  ").otherwise(line)
+    path = f"{shared_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    p.select(line.alias("value")).write.text(path)
+    x = otlp.read_jsonl(spark.read.text(path), "metrics")
+    m = x.select(F.explode("resources").alias("r")).select(F.explode("r.scope_metrics").alias("s")).select(F.explode("s.metrics").alias("m"))
+    m = m.select("m.name", F.explode("m.gauge.data_points").alias("p"))
+    space, instance = values.read(F.col("p.attributes"), "namespace"), values.read(F.col("p.attributes"), "instance")
+    wrong = (instance == "") | (space != text.namespace_of(F.col("name")))
+    return m.agg(F.count("*").alias("points"), F.countDistinct(instance).alias("instances"), F.countDistinct(space).alias("namespaces"), F.count_if(wrong).alias("violations"))
+
+
+def line_protocol_files(spark, d):
+    """Line protocol written in requests, as files, and read back as points."""
+    path = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
+    generate.line_protocol(generate.line_points(spark)).select(F.rtrim("value", F.lit("\n")).alias("value")).write.text(path)
+    x = generate.read_lines(spark.read.text(path))
+    return x.groupBy("measurement").agg(F.count("*").alias("points"), F.countDistinct("tags").alias("series"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("hundredths"), F.max("ts_ns").alias("last"))
+
+
+def display_forms(spark, d):
+    """Every display form over lines' prices, by order of magnitude."""
+    x = table(spark, d, "lineitem").select((F.col("l_orderkey") * F.col("l_partkey") * F.col("l_linenumber")).cast("long").alias("n")).distinct()
+    v = F.col("n").cast("double")
+    return x.select("n", text.show_ns(v).alias("ns"), text.show_bytes(F.col("n")).alias("bytes"), text.show_ratio(v / 4).alias("ratio"), text.show_per_record(v / 8).alias("per_record"))
+
+
+def line_hosts(spark, d):
+    """Whole numbers in settings, and what stands for those that are none."""
+    x = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("user_id").cast("string")).when(F.col("event_id") % 3 == 1, F.col("event_type")).otherwise("").alias("given"))
+    return x.select("event_id", text.to_int(F.col("given"), 7).alias("n"))
 
 
 def _lines(spark):
     i = F.col("id")
     enc, codec = generate.pick(reports.ENCODING_ORDER, i), generate.pick(reports.CODEC_ORDER, F.floor(i / 2))
     head = F.concat(F.lit("BenchmarkEncodeMetrics/balanced/"), enc, F.lit("/"), codec, F.lit("/n="), F.floor(i / 14) + 1, F.lit("-6"))
-    body = F.concat(F.lit("\t 100\t "), i * 1000 + 500, F.lit(" ns/op\t "), i + 7, F.lit(" compressed_bytes\t 2.50 compression_ratio\t "), i * 3 + 1, F.lit(" p50_ns\t "), i * 4 + 1, F.lit(" p90_ns\t 64 B/op\t 3 allocs/op"))
+    body = F.concat(F.lit("\t 100\t "), i * 1000 + 500, F.lit(" ns/op\t "), i * i * 9 + 7, F.lit(" compressed_bytes\t 2.50 compression_ratio\t "), i * 5 + 1, F.lit(" compressed_bytes_per_record\t "), i * i * i * 3 + 1, F.lit(" p50_ns\t "), i * i * i * 400 + 1, F.lit(" p90_ns\t 64 B/op\t 3 allocs/op"))
     return spark.range(140).select(F.when(i % 9 == 0, F.lit("ok  \tperf\t1.2s")).when(i % 10 == 0, head).otherwise(F.concat(head, body)).alias("value"))
 
 
@@ -86,42 +231,111 @@ def linegen_totals(spark, d):
 
 
 def dataset_profiles(spark, d):
-    """Items and distinct attribute sets of each generated profile."""
+    """Items, series and series per attribute of each generated profile, as they are read
+    back from payloads."""
     out = None
-    for name in sorted(generate.PROFILES):
-        x = generate.metrics(spark, name, 2000).agg(F.count("*").alias("items"), F.countDistinct(F.to_json("attrs")).alias("series")).withColumn("profile", F.lit(name))
-        out = x if out is None else out.unionByName(x)
-    t = generate.traces(spark, 2000).agg(F.count("*").alias("items"), F.countDistinct(F.concat("trace_id", "span_id")).alias("series")).withColumn("profile", F.lit("traces-typical"))
-    return out.unionByName(t).select("profile", "items", "series")
+    for name in (*sorted(generate.PROFILES), "traces-typical"):
+        signal = "traces" if name == "traces-typical" else "metrics"
+        x = generate.batches(spark, name, 2000, 500)
+        x = x.select(otlp.decoder(signal, "otlp_proto")(otlp.encoder(signal, "otlp_proto")(F.col("resources"))).alias("resources"))
+        n = x.agg(F.sum(exporting.item_count(signal, F.col("resources"))).alias("items"), F.count("*").alias("payloads"))
+        rows = generate.traces(spark, 2000).select(F.concat("span.trace_id", "span.span_id").alias("key"), F.size("span.attributes").alias("k")) if signal == "traces" else generate.metrics(spark, name, 2000).select(F.to_json("point.attributes").alias("key"), F.size("point.attributes").alias("k"))
+        n = n.crossJoin(rows.agg(F.countDistinct("key").alias("series"), F.max("k").alias("attributes"))).select(F.lit(name).alias("profile"), "*")
+        out = n if out is None else out.unionByName(n)
+    return out
 
 
 def stream_equals_batch(spark, d):
-    """Outcome counts by shard of the events file stream, read until it is drained."""
-    from ..streaming import pipeline
-
+    """Outcome counts by shard of the events as a file stream of records, which are unpacked
+    and decoded as they come, read until it is drained."""
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    e = pipeline.event_stream(spark, d)
-    error = F.when(F.col("event_type") == "error", "transient").when(F.col("event_type") == "signup", "permanent")
-    rows = e.select(F.format_string("shard-%03d", F.col("user_id") % 4).alias("shard_id"), F.col("event_id").alias("seq"), (F.col("event_id") % 13 != 0).alias("unpacked"), (F.col("event_id") % 17 != 0).alias("decoded"), error.alias("error"))
+    ship(spark)
+    records = batches.records(pipeline.event_stream(spark, d)).drop("error")
+    rows = receiver.read_records(records, "logs", READER, batches.sink_verdict)
     pipeline.deliver(rows, pipeline.outcome_sink(f"{root}/out"), f"{root}/offsets").awaitTermination()
     got = spark.read.schema("shard_id string, outcome string, n long").parquet(f"{root}/out")
     return got.groupBy("shard_id", "outcome").agg(F.sum("n").alias("records"))
 
 
-QUERIES = {f.__name__: f for f in (percentile_nearest_rank, histogram_batch_bytes, codec_ratio, otlp_json_roundtrip, otlp_proto_roundtrip, report_pivot, bench_line_parse, linegen_totals, dataset_profiles, stream_equals_batch)}
+QUERIES = {f.__name__: f for f in (wire_matrix, export_logs, export_drops, export_keys, export_split, chain_outcomes, truncate_levels, report_summary, span_identity, jsonl_tally, line_protocol_files, display_forms, line_hosts, percentile_nearest_rank, histogram_batch_bytes, codec_ratio, otlp_json_roundtrip, otlp_proto_roundtrip, bench_line_parse, linegen_totals, dataset_profiles, stream_equals_batch)}
+
+_NS = "CASE WHEN {x} IS NULL THEN '—' WHEN {x} < 1000 THEN printf('%.0fns', {x}::DOUBLE) WHEN {x} < 1000000 THEN printf('%.1fµs', {x} / 1000.0::DOUBLE) WHEN {x} < 1000000000 THEN printf('%.2fms', {x} / 1000000.0::DOUBLE) ELSE printf('%.2fs', {x} / 1000000000.0::DOUBLE) END"
+_BYTES = "CASE WHEN {x} IS NULL THEN '—' WHEN {x} < 1024 THEN {x} || 'B' WHEN {x} < 1048576 THEN printf('%.1fKiB', {x} / 1024::DOUBLE) ELSE printf('%.2fMiB', {x} / 1048576::DOUBLE) END"
+_PER = "CASE WHEN {x} IS NULL THEN '—' WHEN {x} < 10 THEN printf('%.2fB', {x}::DOUBLE) WHEN {x} < 1024 THEN printf('%.0fB', {x}::DOUBLE) ELSE printf('%.1fKiB', {x} / 1024::DOUBLE) END"
+_RATIO = "CASE WHEN {x} IS NULL THEN '—' ELSE printf('%.2f×', {x}::DOUBLE) END"
+
+
+def _summary_sql() -> str:
+    shown = {"p50": _NS.format(x="p50"), "p90": _NS.format(x="p90"), "per_record": _PER.format(x="per"), "total": _BYTES.format(x="total"), "ratio": _RATIO.format(x="ratio")}
+    cols = ", ".join(f"coalesce(max(CASE WHEN enc = '{e}' THEN {k} END), '—') AS {e}_{k}" for e in ("otlp_proto", "otlp_json") for k in shown)
+    rows = "SELECT i, ['otlp_proto', 'otlp_json'][i % 2 + 1] AS enc, ['none', 'gzip', 'zstd', 'snappy', 'x-snappy-framed', 'zlib', 'deflate'][(i // 2) % 7 + 1] AS codec, i // 14 + 1 AS n, CASE WHEN i % 10 <> 0 THEN i * i * i * 3 + 1 END AS p50, CASE WHEN i % 10 <> 0 THEN i * i * i * 400 + 1 END AS p90, CASE WHEN i % 10 <> 0 THEN i * 5 + 1 END AS per, CASE WHEN i % 10 <> 0 THEN i * i * 9 + 7 END AS total, CASE WHEN i % 10 <> 0 THEN 2.5 END AS ratio FROM range(140) t(i) WHERE i % 9 <> 0"
+    return f"WITH r AS ({rows}), s AS (SELECT codec, n, enc, {', '.join(f'{v} AS {k}' for k, v in shown.items())} FROM r) SELECT codec, n, {cols} FROM s GROUP BY 1, 2"
+
+
+#: JSON of a log batch by parts, as the encoder writes it.
+_REC = """'{"timeUnixNano":"' || (event_id + 1) || '","severityNumber":' || CASE WHEN event_type = 'error' THEN 17 ELSE 9 END || ',"body":{"stringValue":"' || event_type || '"},"attributes":[{"key":"k","value":{"stringValue":"' || k || '"}}]}'"""
+_EXPORT = f"""e AS (SELECT *, event_id // {batches.EVENTS} AS b, json_extract_string(props, '$.k') AS k FROM events),
+ x AS (SELECT b, k AS tag, user_id, event_type, event_id, {_REC} AS rec FROM e),
+ s AS (SELECT b, tag, user_id, event_type, min(event_id) AS o, count(*) AS n, strlen('{{"scope":{{"name":"' || event_type || '"}},"logRecords":[]}}') + sum(strlen(rec) + 1) - 1 AS size FROM x GROUP BY 1, 2, 3, 4),
+ r AS (SELECT b, tag, user_id, min((event_type, o)) AS o, sum(n) AS n, strlen('{{"resource":{{"attributes":[{{"key":"user","value":{{"intValue":"' || user_id || '"}}}}]}},"scopeLogs":[]}}') + sum(size + 1) - 1 AS size FROM s GROUP BY 1, 2, 3),
+ g AS (SELECT b, tag, min((user_id, o)) AS o, sum(n) AS n, strlen('{{"resourceLogs":[]}}') + sum(size + 1) - 1 AS size FROM r GROUP BY 1, 2),
+ p AS (SELECT b, n, size, row_number() OVER (PARTITION BY b ORDER BY o) AS rn FROM g WHERE size <= 1200),
+ c AS (SELECT b, rn, size, 0 AS chunk, 1 AS k, size AS bytes FROM p WHERE rn = 1 UNION ALL SELECT p.b, p.rn, p.size, c.chunk + (c.k >= 20 OR c.bytes + p.size > 16000)::INT, CASE WHEN c.k >= 20 OR c.bytes + p.size > 16000 THEN 1 ELSE c.k + 1 END, CASE WHEN c.k >= 20 OR c.bytes + p.size > 16000 THEN p.size ELSE c.bytes + p.size END FROM c JOIN p ON p.b = c.b AND p.rn = c.rn + 1),
+ q AS (SELECT b, chunk, count(*) AS n, sum(size)::BIGINT AS bytes FROM c GROUP BY 1, 2)"""
+
+
+def _split_sql() -> str:
+    """Lines' sizes and the halving of their ranges."""
+    head = """strlen('{"resourceLogs":[{"resource":{"attributes":[{"key":"source","value":{"stringValue":"' || source || '"}}]},"scopeLogs":[{"scope":{},"logRecords":[]}]}]}')"""
+    return f"""WITH RECURSIVE l AS (SELECT doc_id, {head} AS head, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS rn FROM documents),
+ o AS (SELECT doc_id, head, rn, strlen('{{"timeUnixNano":"' || rn || '","body":{{"stringValue":}}}}') + strlen(to_json(line)) + 1 AS s FROM l),
+ p AS (SELECT doc_id, head, rn, sum(s) OVER (PARTITION BY doc_id ORDER BY rn) AS upto FROM o UNION ALL SELECT DISTINCT doc_id, head, 0, 0 FROM o),
+ r AS (SELECT doc_id, head, 0::BIGINT AS lo, max(rn)::BIGINT AS hi, 0 AS depth, max(upto)::BIGINT AS size FROM p GROUP BY 1, 2
+  UNION ALL SELECT doc_id, q.head, lo, hi, depth, (b.upto - a.upto)::BIGINT FROM (SELECT r.doc_id, r.head, CASE WHEN h = 0 THEN lo ELSE lo + (hi - lo) // 2 END AS lo, CASE WHEN h = 0 THEN lo + (hi - lo) // 2 ELSE hi END AS hi, depth + 1 AS depth FROM r CROSS JOIN (VALUES (0), (1)) v(h) WHERE head + size - 1 > 2000 AND depth < 4 AND hi - lo > 1) q JOIN p a USING (doc_id) JOIN p b USING (doc_id) WHERE a.rn = lo AND b.rn = hi),
+ f AS (SELECT *, CASE WHEN head + size - 1 <= 2000 THEN 'shipped' WHEN depth >= 4 THEN 'max_attempts' ELSE 'irreducible' END AS outcome FROM r WHERE head + size - 1 <= 2000 OR depth >= 4 OR hi - lo <= 1)
+ SELECT outcome, CASE WHEN outcome = 'shipped' THEN count(*) ELSE 0 END AS payloads, sum(hi - lo)::BIGINT AS items, CASE WHEN outcome = 'shipped' THEN sum(head + size - 1)::BIGINT ELSE 0 END AS bytes FROM f GROUP BY 1"""
+
+
+def _chain_sql() -> str:
+    head = """strlen('{"resourceLogs":[{"resource":{"attributes":[{"key":"source","value":{"stringValue":"' || source || '"}}]},"scopeLogs":[{"scope":{},"logRecords":[{"attributes":[{"key":"text","value":{"stringValue":}}]}]}]}]}')"""
+    x = f"x AS (SELECT strlen(text) > 2900 AS long, {head} + strlen(to_json(text)) AS raw, {head} + strlen(to_json({_cut_sql(2900)})) AS cut FROM documents)"
+    out = []
+    for name, last, clamps in (("truncate_reject", "reject_policy", True), ("truncate_split", "irreducible", True), ("truncate", "chain_exhausted", True), ("split", "irreducible", False)):
+        cut = "WHEN long AND cut <= 3000 THEN 'shipped'" if clamps else ""
+        size = "CASE WHEN raw <= 3000 THEN raw ELSE cut END"
+        out.append(f"SELECT '{name}' AS chain, outcome, count(*) AS n, CASE WHEN outcome = 'shipped' THEN sum({size})::BIGINT ELSE 0 END AS bytes FROM (SELECT *, CASE WHEN raw <= 3000 THEN 'shipped' {cut} ELSE '{last}' END AS outcome FROM x) GROUP BY outcome")
+        out.append(f"SELECT '{name}', 'clamped', count(*) FILTER ({'raw > 3000 AND long' if clamps else 'false'}), 0 FROM x")
+    return f"WITH {x} " + " UNION ALL ".join(out)
+
+
+def _keys_sql() -> str:
+    tags = f"SELECT 'logs' AS signal, user_id::VARCHAR AS tag, count(*) AS items, count(DISTINCT event_id // {batches.EVENTS}) AS payloads FROM events GROUP BY 2 UNION ALL SELECT 'traces', l_returnflag, count(*), count(DISTINCT o_orderkey // {batches.LINES}) FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 2 UNION ALL SELECT 'metrics', {METRIC}, count(*), count(DISTINCT l_orderkey // {batches.LINES}) FROM lineitem GROUP BY 2 UNION ALL SELECT 'metrics', 'idle', 0, count(DISTINCT l_orderkey // {batches.LINES}) FROM lineitem"
+    return _xxh64_sql(f"SELECT DISTINCT tag FROM ({tags})") + f" SELECT signal, tag, lower(lpad(to_hex(h::UBIGINT), 16, '0')) AS partition_key, payloads, items::BIGINT AS items FROM hashed JOIN ({tags}) USING (tag)"
+
 
-_PIVOT = "max(CASE WHEN enc = '{e}' THEN {x} END)"
-_BYTES = "CASE WHEN n < 1024 THEN n || 'B' WHEN n < 1048576 THEN printf('%.1fKiB', n / 1024) ELSE printf('%.2fMiB', n / 1048576) END"
-_PER = "CASE WHEN n < 10 THEN printf('%.2fB', n::DOUBLE) WHEN n < 1024 THEN printf('%.0fB', n::DOUBLE) ELSE printf('%.1fKiB', n / 1024) END"
-_COLS = ", ".join(f"coalesce({_PIVOT.format(e=e, x=_BYTES)}, '—') AS {e}_total, coalesce({_PIVOT.format(e=e, x=_PER)}, '—') AS {e}_per_record, {_PIVOT.format(e=e, x='cents')} AS {e}_cents" for e in ("f", "o"))
+_COUNTS = f"SELECT 'logs' AS signal, count(DISTINCT event_id // {batches.EVENTS}) AS batches, count(*) AS items FROM events UNION ALL SELECT 'traces', count(DISTINCT o_orderkey // {batches.LINES}), count(*) FROM orders JOIN lineitem ON o_orderkey = l_orderkey UNION ALL SELECT 'metrics', count(DISTINCT l_orderkey // {batches.LINES}), count(*) FROM lineitem"
 _RANK = "list_sort(list(l_extendedprice))[floor({f} * (count(*) - 1))::BIGINT + 1]"
 ORACLES = {
     "percentile_nearest_rank": f"SELECT l_returnflag, min(l_extendedprice) AS min, {_RANK.format(f=0.5)} AS p50, {_RANK.format(f=0.9)} AS p90, max(l_extendedprice) AS max, count(*) AS samples FROM lineitem GROUP BY 1",
     "histogram_batch_bytes": "WITH o AS (SELECT o_custkey, count(*) AS r, sum(strlen(o_orderpriority)) AS b FROM orders GROUP BY 1) SELECT (b > 25)::INT + (b > 50)::INT + (b > 75)::INT + (b > 100)::INT + (b > 150)::INT + (b > 250)::INT AS bucket, count(*) AS batches, sum(r)::BIGINT AS records, sum(b)::BIGINT AS bytes FROM o GROUP BY 1",
-    "otlp_json_roundtrip": "SELECT count(DISTINCT user_id) AS batches, count(*) AS items, count(DISTINCT user_id) AS equal FROM events",
-    "otlp_proto_roundtrip": "SELECT count(DISTINCT user_id) AS batches, count(*) AS items, count(DISTINCT user_id) AS equal FROM events",
-    "report_pivot": f"WITH x AS (SELECT lower(l_returnflag) AS codec, lower(l_linestatus) AS enc, count(*) AS n, sum(round(l_extendedprice * 100)::BIGINT)::BIGINT AS cents FROM lineitem GROUP BY 1, 2) SELECT codec, {_COLS} FROM x GROUP BY 1",
-    "bench_line_parse": "WITH r AS (SELECT i, ['otlp_proto', 'otlp_json'][i % 2 + 1] AS enc, ['none', 'gzip', 'zstd', 'snappy', 'x-snappy-framed', 'zlib', 'deflate'][(i // 2) % 7 + 1] AS codec, i // 14 + 1 AS n, i % 10 = 0 AS skipped FROM range(140) t(i) WHERE i % 9 <> 0) SELECT codec, enc, skipped, count(*) AS rows, sum(n)::BIGINT AS n, (sum(i * 1000 + 500) FILTER (NOT skipped))::BIGINT AS ns, (sum(i * 3 + 1) FILTER (NOT skipped))::BIGINT AS p50_ns, (sum(i + 7) FILTER (NOT skipped))::BIGINT AS bytes, (sum(3) FILTER (NOT skipped))::BIGINT AS allocs FROM r GROUP BY 1, 2, 3",
+    "otlp_json_roundtrip": f"SELECT signal, batches, items, batches AS equal FROM ({_COUNTS})",
+    "wire_matrix": f"SELECT signal, encoding, codec, batches AS delivered, items FROM ({_COUNTS}), (VALUES ('otlp_proto'), ('otlp_json')) e(encoding), (VALUES {', '.join(f'({c!r})' for c in CODECS)}) c(codec)",
+    "export_logs": f"WITH RECURSIVE {_EXPORT} SELECT b::BIGINT AS batch_id, chunk, n, bytes FROM q",
+    "export_drops": f"WITH RECURSIVE {_EXPORT} SELECT 'records_dropped' AS name, 'reject_policy' AS reason, sum(n)::BIGINT AS n FROM g WHERE size > 1200 HAVING count(*) > 0 UNION ALL SELECT 'attributes_truncated', '', 0 UNION ALL SELECT 'put_requests', '', count(*) FROM q UNION ALL SELECT 'put_records', '', coalesce(sum(n), 0)::BIGINT FROM q UNION ALL SELECT 'put_bytes', '', coalesce(sum(bytes), 0)::BIGINT FROM q",
+    "export_keys": _keys_sql(),
+    "export_split": _split_sql(),
+    "chain_outcomes": _chain_sql(),
+    "truncate_levels": "SELECT 'logs' AS signal, 0::BIGINT AS cut, 0::BIGINT AS left_over UNION ALL SELECT 'traces', ((SELECT count(*) FROM (SELECT DISTINCT o_orderkey // 256, o_custkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey > 999)) + count(*) FILTER (l_returnflag = 'R' AND l_partkey > 999) + count(*) FILTER (l_linenumber > 1 AND l_orderkey > 999))::BIGINT, 0 FROM lineitem UNION ALL SELECT 'metrics', (count(*) FILTER (l_partkey > 999) + (SELECT count(*) FROM (SELECT DISTINCT l_orderkey // 256, l_suppkey FROM lineitem WHERE l_suppkey > 999)))::BIGINT, 0 FROM lineitem",
+    "report_summary": _summary_sql(),
+    "span_identity": "SELECT count(*) AS spans, count(DISTINCT (l_orderkey, l_linenumber)) AS unique_ids, 24 AS id_bytes, count(*) FILTER (l_linenumber > 1) AS children, count(*) FILTER (l_returnflag = 'R') AS events, count(*) FILTER (l_linenumber > 1) AS links FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
+    "jsonl_tally": "SELECT count(*) AS points, count(DISTINCT i % 4) AS instances, 2 AS namespaces, 0 AS violations FROM range(2000) t(i) WHERE i % 50 NOT IN (7, 8)",
+    "line_protocol_files": "SELECT m AS measurement, count(*) AS points, count(DISTINCT (i % 8, (i // 8) % 3, i % 4)) AS series, sum(i % 100)::BIGINT AS hundredths, max(i) * 1000000 AS last FROM (SELECT i, ['http_requests', 'http_latency', 'system_cpu'][i % 3 + 1] AS m FROM range(2000) t(i)) GROUP BY 1",
+    "display_forms": f"WITH x AS (SELECT DISTINCT l_orderkey * l_partkey * l_linenumber AS n FROM lineitem) SELECT n, {_NS.format(x='n')} AS ns, {_BYTES.format(x='n')} AS bytes, {_RATIO.format(x='(n / 4.0)')} AS ratio, {_PER.format(x='(n / 8.0)')} AS per_record FROM x",
+    "line_hosts": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN user_id ELSE 7 END::BIGINT AS n FROM events",
+    "codec_ratio": f"SELECT codec, sum(strlen(text))::BIGINT AS raw, count(*) AS n, true AS lossless, codec <> 'none' AS smaller, sum(strlen(text)) / count(*) AS raw_bytes_per_record FROM documents, (VALUES {', '.join(f'({c!r})' for c in CODECS)}) c(codec) GROUP BY codec",
+    "dataset_profiles": "SELECT * FROM (VALUES ('metrics-balanced', 2000, 4, 600, 4), ('metrics-high-cardinality', 2000, 4, 2000, 6), ('metrics-high-frequency', 2000, 4, 24, 3), ('traces-typical', 2000, 4, 2000, 3)) v(profile, items, payloads, series, attributes)",
+    "otlp_proto_roundtrip": f"SELECT signal, batches, items, batches AS equal FROM ({_COUNTS})",
+    "bench_line_parse": "WITH r AS (SELECT i, ['otlp_proto', 'otlp_json'][i % 2 + 1] AS enc, ['none', 'gzip', 'zstd', 'snappy', 'x-snappy-framed', 'zlib', 'deflate'][(i // 2) % 7 + 1] AS codec, i // 14 + 1 AS n, i % 10 = 0 AS skipped FROM range(140) t(i) WHERE i % 9 <> 0) SELECT codec, enc, skipped, count(*) AS rows, sum(n)::BIGINT AS n, (sum(i * 1000 + 500) FILTER (NOT skipped))::BIGINT AS ns, (sum(i * i * i * 3 + 1) FILTER (NOT skipped))::BIGINT AS p50_ns, (sum(i * i * 9 + 7) FILTER (NOT skipped))::BIGINT AS bytes, (sum(3) FILTER (NOT skipped))::BIGINT AS allocs FROM r GROUP BY 1, 2, 3",
     "linegen_totals": "SELECT count(*) AS sent, count(DISTINCT i % 4) AS instances, count(DISTINCT split_part(['http_requests', 'http_latency', 'system_cpu'][i % 3 + 1], '_', 1)) AS namespaces, count(DISTINCT (i // 8) % 3) AS regions, sum(i % 100)::BIGINT AS hundredths FROM range(2000) t(i)",
     "stream_equals_batch": "SELECT printf('shard-%03d', user_id % 4) AS shard_id, CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 OR event_type = 'signup' THEN 'Skip' WHEN event_type = 'error' THEN 'Retry' ELSE 'OK' END AS outcome, count(*) AS records FROM events GROUP BY 1, 2",
 }

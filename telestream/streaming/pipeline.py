@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.delivery import with_outcomes
 
 
 def deliver(records: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -31,7 +30,7 @@ def outcome_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Outcome counts of each micro-batch, by shard."""
 
     def write(batch: DataFrame, number: int) -> None:
-        counts = with_outcomes(batch).groupBy("shard_id", "outcome").agg(F.count("*").alias("n"))
+        counts = batch.groupBy("shard_id", "outcome").agg(F.count("*").alias("n"))
         counts.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return write
