@@ -20,6 +20,7 @@ back.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -245,4 +246,9 @@ class ShardSource(DataSource):
 
 
 def register(spark) -> None:
+    """Makes the source known to a session. It travels by value: the processes that plan a
+    stream do not look where Python workers find this package."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(ShardSource)
