@@ -1,28 +1,26 @@
-"""Wire encodings of a batch: OTLP JSON in built-in functions, OTLP protobuf in Arrow.
+"""Wire encodings of a batch, OTLP JSON and OTLP protobuf, as Arrow functions of columns.
 
 A batch is one row with a ``resources`` column of the type ``nested(signal)``: the whole
-model of the protocol, every kind of value, point and attribute list. JSON expressions are
-derived from the model: ids are hexadecimal, 64-bit integers are strings, and fields that
-hold their default are left out. Unknown fields are skipped by both readers; what cannot be
-read gives null, or an error where ``strict``.
+model of the protocol, every kind of value, point and attribute list. In JSON, ids are
+hexadecimal, 64-bit integers are strings, and fields that hold their default are left out.
+Unknown fields are skipped by both readers; what cannot be read gives null, or an error
+where ``strict``. The work is in ``columnar``; built-in expressions over lists of lists are
+interpreted value by value and take several times as long (README).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ENCODINGS, ConfigError
-from . import wire
-from .model import DEFAULTS, LEVELS, MESSAGES, METRIC_KINDS, NESTED, TEMPORAL, camel, ddl, field_ddl, parts
+from . import columnar
+from .model import DEFAULTS, LEVELS, MESSAGES, METRIC_KINDS, TEMPORAL, ddl, field_ddl, parts
 
 nested = ddl
-#: Bytes fields that JSON writes in hexadecimal (fixed by the format).
-IDS = ("trace_id", "span_id", "parent_span_id")
 
 
 def build(message: str, **given: Column) -> Column:
@@ -39,135 +37,44 @@ def build(message: str, **given: Column) -> Column:
     return F.struct(*fields)
 
 
-# --- JSON --------------------------------------------------------------------------------
-def _scalar_out(field: str, kind: str, x: Column) -> Column:
-    if kind in ("fixed64", "sfixed64", "int64", "uint64"):
-        return x.cast("string")
-    if kind == "bytes":
-        return F.lower(F.hex(x)) if field in IDS else F.regexp_replace(F.base64(x), r"[\r\n]", "")
-    return x
-
-
-def _each(items: Column, change: Callable[[Column], Column]) -> Column:
-    return F.transform(items, lambda x: change(x))
-
-
-def _out(message: str, x: Column) -> Column:
-    """A message as a struct of its JSON names; absent and default fields are null."""
-    fields = []
-    for field, (_, kind) in MESSAGES[message].items():
-        many, mark, inner = parts(kind)
-        v = x[field]
-        if many:
-            made = _each(v, partial(_out, inner) if inner in MESSAGES else partial(_scalar_out, field, inner))
-            made = F.when(F.size(v) > 0, made)
-        elif inner in NESTED:
-            made = F.parse_json(v)
-        elif inner in MESSAGES:
-            made = F.when(v.isNotNull(), _out(inner, v))
-        else:
-            made = _scalar_out(field, inner, v)
-            made = made if mark else F.when(v != F.lit(DEFAULTS[inner]), made)
-        fields.append(made.alias(camel(field)))
-    return F.struct(*fields)
-
+def to_wire(signal: str, encoding: str, resources: Column) -> Column:
+    def run(x: pa.Array) -> pa.Array:
+        return columnar.encode(signal, encoding, x)
 
-def to_otlp_json(signal: str, resources: Column) -> Column:
-    request, top, _, _ = LEVELS[signal]
-    items = F.transform(resources, lambda r: _out(MESSAGES[request][top][1][1:], r))
-    return F.to_json(F.struct(items.alias(camel(top))))
+    return F.arrow_udf(run, "binary")(resources)
 
 
-def _json_ddl(message: str) -> str:
-    made = []
-    for field, (_, kind) in MESSAGES[message].items():
-        many, _, inner = parts(kind)
-        one = _json_ddl(inner) if inner in MESSAGES and inner not in NESTED else {"double": "double", "bool": "boolean", "enum": "int", "sint32": "int", "uint32": "bigint", "fixed32": "bigint"}.get(inner, "string")
-        made.append(f"{camel(field)}: {f'array<{one}>' if many else one}")
-    return f"struct<{', '.join(made)}>"
+def from_wire(signal: str, encoding: str, data: Column, strict: bool = False) -> Column:
+    """The resources; without ``strict`` null where the bytes are no such payload."""
 
+    def run(x: pa.Array) -> pa.Array:
+        return columnar.decode(signal, encoding, x, strict)
 
-def _scalar_in(field: str, kind: str, x: Column) -> Column:
-    if kind in ("fixed64", "sfixed64", "int64", "uint64"):
-        return x.cast("bigint")
-    if kind == "bytes":
-        return F.unhex(x) if field in IDS else F.unbase64(x)
-    return x
+    return F.arrow_udf(run, ddl(signal))(data)
 
 
-def _in(message: str, x: Column) -> Column:
-    """The message's row; absent fields get their default, absent choices stay null."""
-    fields = []
-    for field, (_, kind) in MESSAGES[message].items():
-        many, mark, inner = parts(kind)
-        v = x[camel(field)]
-        if many:
-            made = _each(v, partial(_in, inner) if inner in MESSAGES else partial(_scalar_in, field, inner))
-            made = F.coalesce(made, F.array())
-        elif inner in NESTED:
-            made = v
-        elif inner in MESSAGES:
-            made = F.when(v.isNotNull(), _in(inner, v))
-        else:
-            made = _scalar_in(field, inner, v)
-            made = made if mark else F.coalesce(made, F.lit(DEFAULTS[inner]).cast({"bytes": "binary"}.get(inner, "string")) if inner in ("bytes", "string") else F.lit(DEFAULTS[inner]))
-        fields.append(made.alias(field))
-    return F.struct(*fields)
+def to_otlp_json(signal: str, resources: Column) -> Column:
+    return to_wire(signal, "otlp_json", resources).cast("string")
 
 
 def from_otlp_json(signal: str, text: Column) -> Column:
     """The resources; null where the text is no such document."""
-    request, top, _, _ = LEVELS[signal]
-    doc = F.from_json(text, _json_ddl(request), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    found = F.transform(doc[camel(top)], lambda r: _in(MESSAGES[request][top][1][1:], r)).cast(ddl(signal))
-    # a document of another kind has none of the fields, a broken one is no object
-    whole = F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{")
-    return F.when(whole, F.coalesce(found, F.array().cast(ddl(signal))))
-
-
-# --- protobuf ----------------------------------------------------------------------------
-def to_otlp_proto(signal: str, resources: Column) -> Column:
-    def run(x: pa.Array) -> pa.Array:
-        return pa.array([None if r is None else wire.encode(signal, r) for r in x.to_pylist()], pa.binary())
-
-    return F.arrow_udf(run, "binary")(resources)
-
-
-def from_otlp_proto(signal: str, data: Column, strict: bool = True) -> Column:
-    """The resources; without ``strict`` null where the bytes are no such message."""
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import _parse_datatype_string
+    return from_wire(signal, "otlp_json", text.cast("binary"))
 
-    kind = to_arrow_type(_parse_datatype_string(ddl(signal)))
 
-    def one(b: bytes | None):
-        try:
-            return None if b is None else wire.decode(signal, b)
-        except Exception:
-            if strict:
-                raise
-            return None
-
-    def run(x: pa.Array) -> pa.Array:
-        return pa.array([one(b) for b in x.to_pylist()], kind)
-
-    return F.arrow_udf(run, ddl(signal))(data)
-
-
-_WRITE: dict[str, Callable] = {"otlp_json": lambda s, c: F.encode(to_otlp_json(s, c), "utf-8"), "otlp_proto": to_otlp_proto}
-_READ: dict[str, Callable] = {"otlp_json": lambda s, c: from_otlp_json(s, F.try_validate_utf8(c.cast("string"))), "otlp_proto": lambda s, c: from_otlp_proto(s, c, strict=False)}
+def _known(signal: str, encoding: str) -> None:
+    if encoding not in ENCODINGS or signal not in LEVELS:
+        raise ConfigError(f"unknown encoding {encoding!r} of {signal!r}; known: {', '.join(ENCODINGS)}")
 
 
 def encoder(signal: str, encoding: str) -> Callable[[Column], Column]:
-    if encoding not in _WRITE or signal not in LEVELS:
-        raise ConfigError(f"unknown encoding {encoding!r} of {signal!r}; known: {', '.join(ENCODINGS)}")
-    return lambda c: _WRITE[encoding](signal, c)
+    _known(signal, encoding)
+    return lambda c: to_wire(signal, encoding, c)
 
 
 def decoder(signal: str, encoding: str) -> Callable[[Column], Column]:
-    if encoding not in _READ or signal not in LEVELS:
-        raise ConfigError(f"unknown encoding {encoding!r} of {signal!r}; known: {', '.join(ENCODINGS)}")
-    return lambda c: _READ[encoding](signal, c)
+    _known(signal, encoding)
+    return lambda c: from_wire(signal, encoding, c)
 
 
 # --- walks over a batch ------------------------------------------------------------------
