@@ -125,7 +125,8 @@ def components(ws: Workspace, edges: DataFrame, most_rounds: int = 60) -> DataFr
     the driver but a row count per round.
     """
     kind = edges.schema["a"].dataType.simpleString()
-    edges = ws.table(edges.select("a", "b").filter("a <> b").distinct(), "edges")
+    inner = Workspace(ws.spark, "components")
+    edges = inner.table(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     maps: list[DataFrame] = []
     sizes: list[int] = []
     for r in range(most_rounds):
@@ -135,11 +136,11 @@ def components(ws: Workspace, edges: DataFrame, most_rounds: int = 60) -> DataFr
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b", F.lit(r)).alias("h"), F.col("b").alias("n"))).alias("m"))
         own = F.struct(F.xxhash64("a", F.lit(r)).alias("h"), F.col("a").alias("n"))
-        step = ws.table(near.select(F.col("a").alias("node"), F.least("m", own)["n"].alias("to")), "step", 2 * n)
+        step = inner.table(near.select(F.col("a").alias("node"), F.least("m", own)["n"].alias("to")), "step", 2 * n)
         maps.append(step)
         left, right = step.select(F.col("node").alias("a"), F.col("to").alias("x")), step.select(F.col("node").alias("b"), F.col("to").alias("y"))
         moved = edges.join(left, "a").join(right, "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        edges = ws.table(moved, "edges", n)
+        edges = inner.table(moved, "edges", n)
         sizes.append(2 * n)
     else:
         raise RuntimeError("components did not settle")
@@ -148,7 +149,9 @@ def components(ws: Workspace, edges: DataFrame, most_rounds: int = 60) -> DataFr
     found = maps[-1].select("node", F.col("to").alias("root"))
     for step, n in zip(reversed(maps[:-1]), reversed(sizes[:-1])):
         up = found.select(F.col("node").alias("to"), "root")
-        found = ws.table(step.join(up, "to", "left").select("node", F.coalesce("root", "to").alias("root")), "roots", n)
+        found = inner.table(step.join(up, "to", "left").select("node", F.coalesce("root", "to").alias("root")), "roots", n)
+    found = ws.table(found, "roots", sizes[0])
+    inner.drop()
     return found
 
 

@@ -222,10 +222,10 @@ def _compare(table: pa.Table, i: int, j: int, percent: int) -> list[tuple[bytes,
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row: documents whose sets satisfy
     100 * intersection >= ``percent`` * union are linked."""
-    ws = Workspace(docs.sparkSession, "minhash")
+    out_ws, ws = Workspace(docs.sparkSession, "minhash"), Workspace(docs.sparkSession, "minhash-inner")
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").alias("id"), "text")
-    signed = ws.table(map_rows(rows, f"id {kind}, n_shingles long, node binary, groups array<long>, mins binary", lambda b: _sign(b, width), "text"), "signed")
+    signed = out_ws.table(map_rows(rows, f"id {kind}, n_shingles long, node binary, groups array<long>, mins binary", lambda b: _sign(b, width), "text"), "signed")
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n"), F.min("groups").alias("groups"), F.min("mins").alias("mins"))
     nodes = ws.table(nodes, "nodes")
     pairs = [F.xxhash64(F.lit(i), F.lit(j), F.col("groups")[i], F.col("groups")[GROUPS + j]) for i in range(GROUPS) for j in range(GROUPS)]
@@ -293,7 +293,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     of_node = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     of_node = ws.table(of_node, "of-node")
     lowest = ws.table(of_node.groupBy("root").agg(F.min("id").alias("component_id")), "lowest")
-    of_node = ws.table(of_node.join(lowest, "root").select("node", "component_id"), "components")
+    of_node = out_ws.table(of_node.join(lowest, "root").select("node", "component_id"), "components")
+    ws.drop()
     out = signed.join(of_node, "node", "left")
     out = out.select(F.col("id").alias("doc_id"), "n_shingles", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -307,7 +307,7 @@ def pass_links(ws: Workspace, vectors: DataFrame, n: int, window: int, least: fl
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95, window: int = 64, miss: float = 0.002, seed: int = 20) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of (vec_id, embedding)."""
-    ws = Workspace(vectors.sparkSession, "sorted-passes")
+    out_ws, ws = Workspace(vectors.sparkSession, "sorted-passes"), Workspace(vectors.sparkSession, "sorted-passes-inner")
     kind = vectors.schema["vec_id"].dataType.simpleString()
     inner = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
 
@@ -321,7 +321,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, window: int = 64, m
         return {"row": b.column("row"), "id": b.column("id"), "v": pc.if_else(digest.is_valid(), b.column("v"), None), "digest": digest}
 
     rows = vectors.select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").alias("id"), F.col("embedding").cast(inner).alias("v"))
-    rows = ws.table(map_rows(rows, f"row long, id {kind}, v {inner}, digest binary", clean), "units")
+    rows = out_ws.table(map_rows(rows, f"row long, id {kind}, v {inner}, digest binary", clean), "units")
     # a class of equal vectors is named by one of its rows, whose vector stands for it
     classes = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("row"), F.min("id").alias("least_id"), F.count("*").alias("weight"))
     classes = ws.table(classes, "classes")
@@ -358,7 +358,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, window: int = 64, m
     counted = blocks.groupBy("root", "i", "j").applyInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     named = members.select("id", "root").join(sized.select("root", "component_id"), "root").join(counted, "id").select(F.col("id").alias("row"), "n", "component_id")
     of_class = classes.join(named, "row", "left").select("digest", "weight", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component_id", "least_id").alias("component_id"))
-    of_class = ws.table(of_class, "of-class")
+    of_class = out_ws.table(of_class, "of-class")
+    ws.drop()
     out = rows.select("id", "digest").join(of_class, "digest", "left")
     n = F.coalesce(F.col("n") + F.col("weight") - 1, F.lit(0)).cast("long")
     out = out.select(F.col("id").alias("vec_id"), n.alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
