@@ -1,13 +1,15 @@
 """Near-duplicates, mixes and licences against brute force, and the pipeline's stages."""
 
+import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from telestream.llm import license_model, minhash_tensor, source_schedule
+from telestream.llm import license_model, minhash_tensor, quality_rules, source_schedule
 from telestream.llm.common import Workspace, components
 
 
@@ -307,3 +309,83 @@ def test_pipeline_keeps_rows_with_null_and_repeated_ids(spark, tmp_path):
     twice = df.filter("text = '" + texts[5] + "'")
     out = cp.pieces(spark, twice.unionByName(twice), "").collect()
     assert len(out) == 2 and all(r["lossless"] for r in out) and out[0]["pieces"] != out[1]["pieces"]
+
+
+def rules_by_force(text):
+    """The base rule and the limits of repeats, by counting windows."""
+    w = (text or "").encode().split()
+    n = len(w)
+
+    def repeated(span):
+        windows = [tuple(w[i : i + span]) for i in range(n - span + 1)]
+        often = Counter(windows)
+        return {i + k for i, x in enumerate(windows) if often[x] > 1 for k in range(span)}
+
+    limits = quality_rules.Limits()
+    if n < limits.min_words or 100 * len(repeated(limits.min_repeat)) > limits.max_base_percent * n:
+        return False
+    return 100 * len(repeated(limits.span)) <= limits.max_percent * n and not repeated(limits.max_longest + 1)
+
+
+def mix_by_force(rows, block=128):
+    """How often each of (doc_id, text, source) stands, from slots and words one by one."""
+    size = [len((t or "").encode().split()) for _, t, _ in rows]
+    names = sorted({s for _, _, s in rows}, key=lambda s: (s is None, (s or "").encode()))
+    own = [[i for i, r in enumerate(rows) if r[2] == s] for s in names]
+    total = [sum(size[i] for i in o) for o in own]
+    goal = source_schedule.targets(total, [(5, 2, 1)[k % 3] for k in range(len(names))])
+    blocks = [max(1, (2 * t + block) // (2 * block)) if t else 0 for t in total]
+    slots = [int(g * b / t * 1e6) if t else 0 for g, b, t in zip(goal, blocks, total)]
+    ends = [sum(slots[:k]) * source_schedule.MODULUS // max(1, sum(slots)) for k in range(len(slots) + 1)]
+    rank, times = Counter(), Counter()
+    for k in range((sum(slots) + 500_000) // 1_000_000):
+        point = k % source_schedule.MODULUS * source_schedule.STEP % source_schedule.MODULUS
+        s = next(j for j in range(len(names)) if ends[j] <= point < ends[j + 1])
+        if rank[s] < 3 * blocks[s]:
+            times[s, rank[s] % blocks[s]] += 1
+        rank[s] += 1
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    out = [1] * len(rows)
+    for s, o in enumerate(own):
+        at = 0
+        for i in sorted(o, key=lambda i: (md5("mix" + (str(rows[i][0]) if rows[i][0] is not None else md5(rows[i][1]))), md5(rows[i][1]))):
+            word_block = lambda x, s=s: next(b for b in range(blocks[s]) if b * total[s] // blocks[s] <= x < (b + 1) * total[s] // blocks[s])
+            taken = sum(times[s, word_block(x)] for x in range(at, at + size[i]))
+            out[i] = int(taken / size[i] + 0.5) if size[i] else 1
+            at += size[i]
+    return out
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """The whole pipeline against plain Python, from the texts to the rows that come out."""
+    import sentencepiece
+
+    import corpus_pipeline as cp
+    from telestream.llm import merge_dropout, quality_crf
+
+    rng = random.Random(15)
+    vocab = [f"w{i}" for i in range(300)]
+    sentence = lambda: " ".join(rng.choice(vocab) for _ in range(12)).capitalize() + "."
+    texts = ["\n".join(sentence() for _ in range(rng.randrange(2, 9))) for _ in range(70)]
+    texts += [" ".join(w.upper() + "###" for w in sentence().split() * 4) for _ in range(30)]
+    near = [t.split() for t in texts[:6]]
+    texts += [" ".join([*w[:10], "changed", *w[11:]]) for w in near] + texts[10:14] + ["\n".join([sentence()] * 25), "too short", "", texts[20] + " " + texts[20]]
+    rows = [(i, t, "en", (None, "b", "a", "é", "B")[i % 5], len(t)) for i, t in enumerate(texts)]
+    d = str(tmp_path)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{d}/documents.parquet")
+    labels = spark.createDataFrame([(i, int("###" not in t), 0) for i, t in enumerate(texts[:100])], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{d}/labels.parquet")
+    model = quality_crf.train(spark.read.parquet(f"{d}/documents.parquet"), labels)
+    kept = [r for r in rows if model.scores([quality_crf.describe(r[1].encode())])[0] >= 0.7]
+    kept = [r for r in kept if rules_by_force(r[1])]
+    roots = components_by_force([shingle_set(r[1], 5) for r in kept], 80)
+    kept = [r for i, r in enumerate(kept) if roots[i] == i]
+    want = Counter({r[0]: n for r, n in zip(kept, mix_by_force([(r[0], r[1], r[3]) for r in kept])) if n})
+    out = cp.run(spark, d).collect()
+    assert Counter(r["doc_id"] for r in out) == want and 40 < len(want) < 80 and max(want.values()) > 1
+    sp = sentencepiece.SentencePieceProcessor(model_file=cp.tokenizer(cp.PIECE_BPE))
+    known = dict((r[0], r[1]) for r in rows)
+    plain = merge_dropout.pieces(cp.tokenizer(cp.PIECE_BPE))
+    for r in out:
+        assert plain.decode(r["pieces"]) == known[r["doc_id"]] and r["lossless"] and r["n_pieces"] >= len(sp.encode(known[r["doc_id"]])) * 0.9

@@ -1,6 +1,7 @@
 """Token counts against the library, segmentations by round trip, scores by enumeration."""
 
 import itertools
+import os
 import random
 
 import numpy as np
@@ -328,3 +329,43 @@ def test_scores_of_a_small_corpus(spark):
     assert hmm_scores.score(df.limit(0), plan).count() == 0
     none = hmm_scores.score(df.filter("doc_id = 501").withColumn("text", df.text), plan, fold=None).collect()
     assert none[0]["n_tokens"] == 1
+
+
+def by_force(m, unit, bar, key):
+    """The agenda by definition: of all candidates at hand that were not skipped, the best
+    score, the leftmost of equals; each is put to the hash once."""
+    parts, gone, turn = [(i, c) for i, c in enumerate(unit)], set(), 0
+    while True:
+        spans = [(a[0], b[0], b[0] + len(b[1])) for a, b in zip(parts, parts[1:])]
+        found = [(-m.score[a[1] + b[1]], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a[1] + b[1] in m.score and spans[k] not in gone]
+        if not found:
+            return [p for _, p in parts]
+        k = min(found)[1]
+        if merge_dropout.skipped(np.uint64(key), turn, bar)[0]:
+            gone.add(spans[k])
+        else:
+            parts[k : k + 2] = [(parts[k][0], parts[k][1] + parts[k + 1][1])]
+        turn += 1
+
+
+def test_dropout_equals_brute_force():
+    m, rng = merge_dropout.pieces(tokenizer(PIECE_BPE)), random.Random(16)
+    units = ["".join(rng.choice("▁theingatos.,é中") for _ in range(rng.randrange(1, 30))) for _ in range(250)] + ["▁international", "▁" * 7, "a" * 25]
+    for drop in (0.1, 0.4, 1):
+        bar = int(drop * 2**32)
+        for u, ids in zip(units, m.encode_units(units, drop, 3, 1)):
+            key = int(m.unit_keys(np.array([[ord(c) for c in u]], np.uint32), 3, 1)[0])
+            assert ids == m.as_ids(by_force(m, u, bar, key))
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001/documents.parquet"), reason="needs the supplied tables")
+def test_counts_of_whole_texts_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    from telestream.llm import queries
+
+    t = Tokenizer.from_file(tokenizer(BYTE_BPE))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    want = {r["doc_id"]: len(t.encode(r["text"] or "", add_special_tokens=False).ids) for r in docs}
+    got = queries.token_totals(spark, "/root/testdata/sf0.001").collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == want and all(r["over_limit"] == (r["n_tokens"] > 512) for r in got)
