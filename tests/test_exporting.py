@@ -157,6 +157,36 @@ def test_requests_are_sent_and_partial_failures_repeated(spark):
     assert got == [(1, 0, 3, 2, 1, 0, None), (1, 1, 1, 1, 0, 0, None), (2, 0, 5, 0, 0, 1, None), (3, 0, 1, 0, 0, 0, "permanent")]
 
 
+def test_lines_are_posted_and_refusals_are_errors(spark):
+    import http.server
+    import threading
+
+    from telestream.sources import generate
+
+    got = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            got.append(self.rfile.read(int(self.headers["Content-Length"])).decode())
+            self.send_response(204 if self.path == "/write" else 500)
+            self.end_headers()
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        at = f"http://127.0.0.1:{server.server_port}"
+        lines = generate.line_protocol(generate.line_points(spark, total=450))
+        assert sorted(r["status"] for r in sending.post_lines(lines, f"{at}/write").collect()) == [204] * 3
+        assert sorted(x.count("\n") for x in got) == [50, 200, 200]
+        with pytest.raises(Exception, match="500"):
+            sending.post_lines(lines, f"{at}/no").collect()
+    finally:
+        server.shutdown()
+
+
 def test_array_halves(spark):
     a, b = oversize.split_array(F.array(*map(F.lit, (1, 2, 3))))
     assert tuple(spark.range(1).select(a.alias("a"), b.alias("b")).first()) == ([1], [2, 3])
