@@ -48,7 +48,8 @@ class Workspace:
 
     def table(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
         """The table, written and read again. Where ``rows``, a bound of its rows, is known to
-        be small, it is written by few tasks, as files of some size."""
+        be small, it is written by few tasks, as files of some size: a file costs a store some
+        calls, and a local one some processes, whatever it holds."""
         path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         if rows is not None and rows < MANY:
             df = df.coalesce(FEWEST + rows // ROWS_A_FILE)
@@ -126,7 +127,7 @@ def components(ws: Workspace, edges: DataFrame, most_rounds: int = 60) -> DataFr
     """
     kind = edges.schema["a"].dataType.simpleString()
     inner = Workspace(ws.spark, "components")
-    edges = inner.table(edges.select("a", "b").filter("a <> b").distinct(), "edges")
+    edges = inner.table(edges.select("a", "b").filter("a <> b").distinct(), "edges", edges.count())
     maps: list[DataFrame] = []
     sizes: list[int] = []
     for r in range(most_rounds):

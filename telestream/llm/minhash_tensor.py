@@ -227,15 +227,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows = docs.select(F.col("doc_id").alias("id"), "text")
     signed = out_ws.table(map_rows(rows, f"id {kind}, n_shingles long, node binary, groups array<long>, mins binary", lambda b: _sign(b, width), "text"), "signed")
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n"), F.min("groups").alias("groups"), F.min("mins").alias("mins"))
-    nodes = ws.table(nodes, "nodes")
+    n = signed.count()  # bounds of what is written keep small tables in few files
+    nodes = ws.table(nodes, "nodes", n)
     pairs = [F.xxhash64(F.lit(i), F.lit(j), F.col("groups")[i], F.col("groups")[GROUPS + j]) for i in range(GROUPS) for j in range(GROUPS)]
     keys = nodes.select("node", F.explode(F.array(*pairs)).alias("key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head <> last").select("key", "head")
     buckets = ws.table(buckets, "buckets")
     held = ws.table(keys.join(buckets, "key"), "held")
+    h = held.count()
     candidates = held.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    candidates = ws.table(candidates, "candidates")
-    wanted = ws.table(candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct(), "wanted")
+    candidates = ws.table(candidates, "candidates", h)
+    wanted = ws.table(candidates.select(F.col("a").alias("node")).unionByName(candidates.select(F.col("b").alias("node"))).distinct(), "wanted", min(2 * h, n))
+    w = wanted.count()
     # whole sets of the candidates only, from one row for each
     picked = nodes.join(wanted, "node", "left_semi").select("id", F.col("node").alias("want"))
     named = rows.join(picked, "id").select("text", "want")
@@ -246,37 +249,37 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         keep = pa.array([k for k, v in enumerate(ok) if v], pa.int64())
         return {"node": pa.array(made["node"], pa.binary()).take(keep), "items": made["items"].take(keep)}
 
-    sets = ws.table(map_rows(named, "node binary, items array<long>", whole, "text").dropDuplicates(["node"]), "sets")
+    sets = ws.table(map_rows(named, "node binary, items array<long>", whole, "text").dropDuplicates(["node"]), "sets", w)
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
 
     def confirmed(some: DataFrame) -> DataFrame:
         both = some.join(left, "a").join(right, "b").withColumn("n", F.size(F.array_intersect("x", "y")))
-        return ws.table(both.filter(100 * F.col("n") >= percent * (F.size("x") + F.size("y") - F.col("n"))).select("a", "b"), "links")
+        return ws.table(both.filter(100 * F.col("n") >= percent * (F.size("x") + F.size("y") - F.col("n"))).select("a", "b"), "links", h)
 
     def united(links: DataFrame) -> DataFrame:
         roots = components(ws, links).withColumnRenamed("root", "part")
-        return ws.table(wanted.join(roots, "node", "left").select("node", F.coalesce("part", "node").alias("part")), "parts")
+        return ws.table(wanted.join(roots, "node", "left").select("node", F.coalesce("part", "node").alias("part")), "parts", w)
 
     links = confirmed(candidates)
     parts = united(links)
-    placed = ws.table(held.select("key", "node").join(parts, "node"), "placed")
+    placed = ws.table(held.select("key", "node").join(parts, "node"), "placed", h)
     # open buckets once more against a node that differs from table to table: the least by
     # its bytes from another place on
     at = F.pmod(F.col("key"), F.lit(16)).cast("int")
     turned = lambda c, k: F.concat(F.substring(c, k + 1, F.lit(16)), F.substring(c, F.lit(1), k))
     heads = placed.groupBy("key").agg(F.min(turned(F.col("node"), at)).alias("head"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
     heads = heads.select("key", turned(F.col("head"), F.pmod(16 - at, F.lit(16))).alias("head"))
-    heads = ws.table(heads.join(parts.select(F.col("node").alias("head"), F.col("part").alias("of_head")), "head"), "heads")
+    heads = ws.table(heads.join(parts.select(F.col("node").alias("head"), F.col("part").alias("of_head")), "head"), "heads", h)
     again = placed.join(heads, "key").filter("part <> of_head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     links = links.unionByName(confirmed(again))
     parts = united(links)
-    placed = ws.table(placed.join(heads.select("key"), "key").select("key", "node").join(parts, "node"), "placed")
+    placed = ws.table(placed.join(heads.select("key"), "key").select("key", "node").join(parts, "node"), "placed", h)
     # the largest part of a bucket is only compared with the rest, not within itself
     sizes = placed.groupBy("key", "part").agg(F.count("*").alias("k")).groupBy("key")
     open_ = sizes.agg(F.max(F.struct("k", "part")).alias("top"), F.sum("k").alias("k"), F.count("*").alias("parts")).filter("parts > 1")
     open_ = open_.select("key", F.col("top.part").alias("top"), F.ceil(F.col("top.k") / BLOCK).cast("int").alias("big"), F.ceil((F.col("k") - F.col("top.k")) / BLOCK).cast("int").alias("small"))
-    rest = placed.join(ws.table(open_, "open"), "key").join(nodes.select("node", "groups", "mins"), "node")
+    rest = placed.join(ws.table(open_, "open", h), "key").join(nodes.select("node", "groups", "mins"), "node")
     rest = rest.withColumn("place", F.array_position(F.array(*pairs), F.col("key")) - 1)
     in_top, at = F.col("part") == F.col("top"), F.xxhash64("node")
     rest = rest.withColumn("own", F.when(in_top, F.pmod(at, F.col("big"))).otherwise(F.col("big") + F.pmod(at, F.col("small"))).cast("int"))
@@ -289,11 +292,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
 
     more = ws.table(some.groupBy("key", "i", "j").applyInArrow(compare, "a binary, b binary"), "more")
-    roots = ws.table(components(ws, links.unionByName(more)), "roots")
+    roots = components(ws, links.unionByName(more))
     of_node = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
-    of_node = ws.table(of_node, "of-node")
-    lowest = ws.table(of_node.groupBy("root").agg(F.min("id").alias("component_id")), "lowest")
-    of_node = out_ws.table(of_node.join(lowest, "root").select("node", "component_id"), "components")
+    of_node = ws.table(of_node, "of-node", n)
+    lowest = ws.table(of_node.groupBy("root").agg(F.min("id").alias("component_id")), "lowest", n)
+    of_node = out_ws.table(of_node.join(lowest, "root").select("node", "component_id"), "components", n)
     ws.drop()
     out = signed.join(of_node, "node", "left")
     out = out.select(F.col("id").alias("doc_id"), "n_shingles", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -25,7 +25,7 @@ from .common import WORD, Workspace
 
 #: Steps of the integer golden-ratio sequence: k * STEP mod MODULUS (both fixed values).
 MODULUS, STEP = 2147483647, 1327217885
-CHUNK, BINS = 4096, 65536
+CHUNK, BINS, SOURCES = 4096, 65536, 100_000
 
 
 def targets(sizes: list[int], weights: list[float], most: float = 3.0) -> list[float]:
@@ -48,32 +48,36 @@ def targets(sizes: list[int], weights: list[float], most: float = 3.0) -> list[f
     return out
 
 
-def running(ws: Workspace, df: DataFrame, key: str, order: list[str], part: str, value: str, out: str) -> DataFrame:
+def running(ws: Workspace, df: DataFrame, key: str, order: list[str], part: str, value: str, out: str, rows: int | None = None) -> DataFrame:
     """Adds the sum of ``value`` over earlier rows of ``key`` in (part, order) order.
 
     ``part`` numbers sub-ranges of bounded size; sums of sub-ranges come first."""
     sums = df.groupBy(key, part).agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    base = ws.table(sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum"), "sums")
+    base = ws.table(sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum"), "sums", rows)
     inner = Window.partitionBy(key, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     within = df.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
     return within.join(base, [key, part]).withColumn(out, F.col("_base") + F.col("_in")).drop("_base", "_in")
 
 
-def plan_sources(ws: Workspace, per: DataFrame, weights: tuple[float, ...], block: int, most: float) -> tuple[DataFrame, int]:
+def plan_sources(ws: Workspace, per: DataFrame, weights: tuple[float, ...], block: int, most: float, n_rows: int | None = None) -> tuple[DataFrame, int]:
     """(a row per source of (source, size, n) with its number, target, blocks and range of
     points; the number of slots). Numbers follow code points, null last."""
     # a sorted table is written partition by partition, so a number is the rows of the
     # partitions before and the place in the own one
     order = [F.col("source").isNull(), F.col("source")]
-    rows = ws.table(per.orderBy(*order).withColumn("file", F.spark_partition_id()), "sources")
+    per = ws.table(per, "per-source", n_rows)
+    k = per.count()
+    # few enough sources are sorted by one task; numbers need no more than the order
+    rows = per.orderBy(*order) if k > SOURCES else per.coalesce(1).sortWithinPartitions(*order)
+    rows = ws.table(rows.withColumn("file", F.spark_partition_id()), "sources")
     ahead, first = 0, {}
     for r in sorted(rows.groupBy("file").count().collect()):  # a row per partition
         first[r["file"]], ahead = ahead, ahead + r["count"]
     offsets = ws.spark.createDataFrame(list(first.items()), "file int, ahead long")
     rows = rows.join(F.broadcast(offsets), "file").withColumn("source_no", (F.col("ahead") + F.row_number().over(Window.partitionBy("file").orderBy(*order)) - 1).cast("int"))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("source_no") % len(weights) + 1)
-    rows = ws.table(rows.select("source_no", "source", F.col("size").alias("source_size"), "n", weight.alias("weight")), "numbered")
+    rows = ws.table(rows.select("source_no", "source", F.col("size").alias("source_size"), "n", weight.alias("weight")), "numbered", k)
     total = float(rows.agg(F.sum("source_size")).first()[0] or 0)
     # a source is capped once its share of what is left is above; each round may cap more
     share, capped = None, -1
@@ -93,11 +97,11 @@ def plan_sources(ws: Workspace, per: DataFrame, weights: tuple[float, ...], bloc
     # slots of each source in millionths, so that bounds are exact whole numbers
     slots = F.when(F.col("source_size") > 0, F.floor(F.col("target") * F.col("blocks") / F.col("source_size") * 1e6)).otherwise(0).cast("long")
     rows = rows.withColumn("slots", slots).withColumn("all", F.lit(0)).withColumn("part", F.floor(F.col("source_no") / CHUNK).cast("long"))
-    rows = ws.table(running(ws, rows, "all", ["source_no"], "part", "slots", "at"), "laid-out")
+    rows = ws.table(running(ws, rows, "all", ["source_no"], "part", "slots", "at", k), "laid-out", k)
     n = int(rows.agg(F.sum(F.col("slots").cast("decimal(38,0)"))).first()[0] or 0)
     bound = lambda c: F.expr(f"cast({c} AS decimal(27,0)) * {MODULUS} div {max(1, n)}").cast("long")
     rows = rows.select("source_no", "source", "source_size", "target", "blocks", bound("at").alias("low"), bound("at + slots").alias("high"), F.greatest(F.lit(1), F.expr(f"n div {CHUNK}")).cast("long").alias("parts"))
-    return ws.table(rows, "plan"), (n + 500_000) // 1_000_000
+    return ws.table(rows, "plan", k), (n + 500_000) // 1_000_000
 
 
 def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int = 128, seed: str = "mix", most: float = 3.0, key: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -108,11 +112,12 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int
     rows = docs.select(*own, "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit("")))).alias("place"), F.md5(F.coalesce("text", F.lit(""))).alias("tie"))
     rows = ws.table(rows, "sizes")
     per = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    plan, n_slots = plan_sources(ws, per, weights, block, most)
+    n = rows.count()
+    plan, n_slots = plan_sources(ws, per, weights, block, most, n)
     # one row per source: adaptive execution checks the size before it broadcasts
     docs_in = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select(*own, "doc_id", "size", "place", "tie", plan["source_no"], "source_size", "target", "blocks", "parts")
     docs_in = docs_in.withColumn("part", F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * F.col("parts") / F.lit(1 << 32)).cast("long"))
-    placed = ws.table(running(ws, docs_in, "source_no", ["place", "tie"], "part", "size", "start").withColumn("row", F.monotonically_increasing_id()), "placed")
+    placed = ws.table(running(ws, docs_in, "source_no", ["place", "tie"], "part", "size", "start", n).withColumn("row", F.monotonically_increasing_id()), "placed", n)
     ids = spark.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") % MODULUS * STEP % MODULUS).alias("point"), F.floor(F.col("id") / CHUNK).cast("long").alias("part"))
     # a slot's source: points meet ranges by the bin both fall in, of which a source has some
     # and all sources together at most BINS more than there are sources
@@ -120,9 +125,9 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int
     width = -(-MODULUS // BINS)
     ranges = ranges.withColumn("bin", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
     hit = ids.withColumn("bin", F.floor(F.col("point") / width)).join(ranges, "bin").filter("point >= low AND point < high").drop("bin").withColumn("one", F.lit(1))
-    hit = ws.table(hit, "points")
-    ranked = running(ws, hit, "source_no", ["slot"], "part", "one", "rank").filter(F.col("rank") < F.col("blocks") * F.lit(int(most)))
-    taken = ws.table(ranked.select("slot", "source_no", (F.col("rank") % F.col("blocks")).alias("block")), "slots")
+    hit = ws.table(hit, "points", n_slots)
+    ranked = running(ws, hit, "source_no", ["slot"], "part", "one", "rank", n_slots).filter(F.col("rank") < F.col("blocks") * F.lit(int(most)))
+    taken = ws.table(ranked.select("slot", "source_no", (F.col("rank") % F.col("blocks")).alias("block")), "slots", n_slots)
     times = taken.groupBy("source_no", "block").agg(F.count("*").alias("times"))
     # block b holds the words [b * size div blocks, (b + 1) * size div blocks) of its source's stream
     first = F.expr("greatest(start * blocks div source_size - 1, 0)")
