@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import ReaderConfig
 from ..functions import outcomes
 from ..operators import delivery, leases, sending
-from ..packaging import shared_dir, ship, written
+from ..packaging import shared_dir, ship
 from ..schema import RECORD, SHARD_END, TRIM_HORIZON, table
 from ..schema import leases as lease_rows
 from ..sources import codecs, shards
@@ -79,6 +79,11 @@ def delivery_audit(spark, d):
     return delivery.audit(x.select("shard_id", "seq"), x.select("shard_id", "seq").unionByName(again.select("shard_id", "seq")), ["shard_id", "seq"])
 
 
+def _by_shard(records):
+    """The records as a stream's files hold them: shard after shard, in the order of sequences."""
+    return records.repartitionByRange("shard_id", "seq").sortWithinPartitions("shard_id", "seq")
+
+
 def _shards(rows, parents):
     """Closed shards of (shard_id, last)."""
     return [receiver.Shard(r["shard_id"], parents.get(r["shard_id"], ()), r["last"]) for r in rows]
@@ -101,12 +106,14 @@ class _Counting(receiver.TableSink):
 def _drained(spark, d, replicas):
     """(store, replicas, folder) after replicas have read the events until every shard ended.
     The second shard is a child of the first, and waits for it."""
-    records = written(spark, batches.event_records(spark, d).drop("error"), "records")
+    folder = f"{shared_dir(spark)}/receiver-{uuid.uuid4().hex}"
+    _by_shard(batches.event_records(spark, d).drop("error")).write.parquet(f"{folder}/stream")
+    records = spark.read.schema(RECORD).parquet(f"{folder}/stream")
     last = records.groupBy("shard_id").agg(F.max("seq").alias("last")).collect()  # a row per shard
-    stream = receiver.TableStream(records, _shards(last, {"shard-001": ("shard-000",)}))
-    store, folder = stores.MemoryStore(), f"{shared_dir(spark)}/receiver-{uuid.uuid4().hex}"
+    listed = _shards(last, {"shard-001": ("shard-000",)})
+    stream, store = receiver.FolderStream(spark, f"{folder}/stream", lambda: listed), stores.MemoryStore()
     made = [receiver.Receiver(replace(READER, worker_id=f"w{k}"), spark, stream, store, _Counting(f"{folder}/{k}")) for k in range(replicas)]
-    receiver.run(made, passes=60, step=60_000)
+    receiver.run(made, step=60_000)
     return store, made, folder
 
 
