@@ -191,6 +191,17 @@ def lease_store_history(spark, d):
     return spark.createDataFrame(said, "step int, write string, answer string, counter long")
 
 
+def _until_drained(restart, grow):
+    """Restarts until a batch finds no rows, however many that takes; the stream grows after
+    the second batch."""
+    n = 0
+    while restart() or n <= 2:
+        if n == 1:
+            grow()
+        n += 1
+    return n
+
+
 def shard_stream_restarts(spark, d):
     """The shard source as a stream that is stopped after every batch, and gets a child shard
     on the way: each record once, the child after its parent."""
@@ -198,23 +209,20 @@ def shard_stream_restarts(spark, d):
     shards.register(spark)
     root = f"{shared_dir(spark)}/restarts-{uuid.uuid4().hex}"
     e = table(spark, d, "events").select(F.format_string("shard-%03d", F.col("user_id") % 4).alias("shard_id"), (F.col("event_id") * 1000).alias("seq"), F.col("user_id").cast("string").alias("partition_key"), F.encode("props", "utf-8").alias("data"))
-    e.filter("shard_id <> 'shard-003'").write.mode("append").parquet(f"{root}/stream")
-    total, n = e.count(), 0
+    _by_shard(e.filter("shard_id <> 'shard-003'")).write.mode("append").parquet(f"{root}/stream")
+    total = e.count()
     limit = str(min(10_000, max(1, total // 12)))
     x = spark.readStream.format("shards").options(path=f"{root}/stream", maxRecords=limit, parents=json.dumps({"shard-003": ["shard-000"]}), checkpoint=f"{root}/offsets").load()
 
     def sink(batch, number):
         batch.select("shard_id", "seq", F.lit(number).cast("long").alias("number")).write.mode("overwrite").parquet(f"{root}/out/batch-{number}")
 
-    while n < 100:
+    def restart():
         q = x.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/offsets").trigger(once=True).start()
         q.awaitTermination()
-        if n == 1:
-            e.filter("shard_id = 'shard-003'").write.mode("append").parquet(f"{root}/stream")
-        if not q.lastProgress or not q.lastProgress["numInputRows"]:
-            if n > 2:
-                break
-        n += 1
+        return q.lastProgress["numInputRows"] if q.lastProgress else 0
+
+    _until_drained(restart, lambda: _by_shard(e.filter("shard_id = 'shard-003'")).write.mode("append").parquet(f"{root}/stream"))
     out = spark.read.schema("shard_id string, seq long, number long").parquet(f"{root}/out/*")
     return out.groupBy("shard_id").agg(F.count("*").alias("records"), F.countDistinct("seq").alias("unique_ids"), (F.min("number") > 0).alias("later"))
 
