@@ -12,25 +12,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..packaging import shared_dir, ship
+from ..packaging import shared_dir, ship, small_batches
 
 #: ASCII white space as the contracts use it; bytes.split() splits on exactly these.
 SPACE = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_KEY, BATCH_MB = "spark.sql.execution.arrow.maxBytesPerBatch", 8
 #: Tables of fewer than MANY rows are written by FEWEST tasks and one more for each ROWS_A_FILE.
 MANY, FEWEST, ROWS_A_FILE = 1_000_000, 4, 20_000
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Has texts go to Python and back in batches of ``BATCH_MB``, unless the session asks for
-    smaller ones: a batch is held by both sides, several times over."""
-    now = spark.conf.get(BATCH_KEY).lower()
-    size = int(now.rstrip("bkmg") or 0) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now.rstrip("b")[-1:], 1)
-    if not 0 < size <= BATCH_MB << 20:
-        spark.conf.set(BATCH_KEY, f"{BATCH_MB}m")
-
-
 class Workspace:
     """Written intermediates of one call under the shared folder.
 

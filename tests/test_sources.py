@@ -4,6 +4,7 @@ import json
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +240,16 @@ def test_observation_state(spark, tmp_path):
     q = pipeline.observe(s).writeStream.format("memory").queryName("seen").outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert {tuple(r) for r in spark.table("seen").collect()} == {("a", 2, 30, 1), ("b", 7, 5, 1)}
+
+
+def test_rows_go_to_python_in_batches_of_few_bytes(spark):
+    """A row holds a whole batch of telemetry, so rows alone bound nothing."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        spark.conf.unset(key)
+        ship(spark)
+        sizes = F.arrow_udf(lambda x: pa.array([len(x)] * len(x), pa.int64()), "long")
+        most = spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("t")).select(sizes("t").alias("n")).agg(F.max("n")).first()[0]
+        assert most <= 10
+    finally:
+        spark.conf.set(key, seen)
