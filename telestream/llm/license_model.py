@@ -1,9 +1,11 @@
 """Licence scan: a trained paragraph classifier in DataFrame functions only.
 
 A text is cut at blank lines and ends of sentences, so that notices that wrap over several
-lines stay whole. In each piece, passages are the stretches of up to ``CONTEXT`` words on
-both sides of marks, the words with which every notice tells what it is (``MARKS``: licen-,
-copyright, SPDX, GNU, ...). A multinomial logistic regression over word 1-, 2- and 3-grams
+lines stay whole. Every word of every piece is looked at: passages are the stretches of up to
+``CONTEXT`` words on both sides of marks, the words with which most notices tell what they
+are (``MARKS``: licen-, copyright, SPDX, GNU, ...), and of every other place where two
+words of a family's notice stand side by side, since a prediction counts only with such
+pairs. A multinomial logistic regression over word 1-, 2- and 3-grams
 gives each passage the probability of each licence family and of the unknown class; a
 temperature calibrates it. A prediction counts if it is likely enough and the passage holds
 most of the word pairs of one of the family's notices, and no notice of another licence
@@ -16,7 +18,7 @@ notices of other licences, reservations of rights and prose that speaks of licen
 Nothing is drawn from the corpus, so what is found in a text does not depend on other
 texts. The temperature comes from frames and sentences that a first fit has not seen; a
 second fit uses all. Weights and notices are fixed tables of some thousand rows, which are
-broadcast. Texts without a mark leave the plan early: they have no passage.
+broadcast. Pieces without a mark or a pair have no passage and leave the plan early.
 
 Null and empty texts have no licence. Results are per row of the corpus; repeated rows and
 ids get a row each. Of several families in a text the likeliest is named, then the more
@@ -97,7 +99,7 @@ FRAMES = ["{}", "Licensed under {}.", "Released under {}.", "This work is licens
 SPDX = "SPDX-License-Identifier: {}"
 #: Words that say nothing about a licence; an n-gram of them alone is no feature.
 STOP = frozenset("a an and any are as at be but by can for from has have if in into is it its may must not of on one or other our shall so such than that the their there these this to under was were will with you your".split())
-#: How words begin that every notice has one of.
+#: How words begin that most notices have one of.
 MARKS = "licen|unlicen|sublicen|copyright|copyleft|spdx|redistribut|permission|warrant|unencumbered|creative commons|gnu\\b|[al]?gpl|mozilla|mpl\\b|apache|bsd|cc0|cc[ -]by|eclipse public|boost software"
 MARK = f"(?i)(?<![a-z0-9])(?:{MARKS})"
 CONTEXT, PER_TASK = 24, 500
@@ -113,7 +115,7 @@ def words_of(text: str) -> list[str]:
 
 def word_column(line: Column) -> Column:
     lower = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.transform(F.split(lower, SPLIT), lambda w: F.regexp_replace(w, r"^[.\-]+|[.\-]+$", "")), lambda w: w != "")
+    return F.filter(F.transform(F.split(lower, SPLIT), lambda w: F.btrim(w, F.lit(".-"))), lambda w: w != "")
 
 
 def ngrams(words: list[str], most: int = 3, least: int = 1) -> set[str]:
@@ -179,7 +181,6 @@ def train(rounds: int = 100, copies: int = 4, seed: int = 9) -> Model:
     rng, families = random.Random(seed), [*sorted(FAMILIES), UNKNOWN]
     rows = [(v, families.index(f), held) for f, t, held in notices() for v in variants(words_of(t), copies, rng)]
     rows += [([], len(families) - 1, False)]
-    told = lambda g: any(w not in STOP and not w.replace(".", "").isdigit() for w in g.split(" "))
     vocab = {g: i for i, g in enumerate(sorted({g for v, _, _ in rows for g in ngrams(v) if told(g)}))}
     x = np.zeros((len(rows), len(vocab)), np.float32)
     for i, (v, _, _) in enumerate(rows):
@@ -194,14 +195,13 @@ def train(rounds: int = 100, copies: int = 4, seed: int = 9) -> Model:
     return Model(families, [(g, [float(v) for v in w[i]]) for g, i in vocab.items()], [float(v) for v in b], float(temperature))
 
 
-def passages_of(docs: DataFrame) -> DataFrame:
-    """(row, passage, words) around the marks of (row, text)."""
-    cut = docs.filter(F.col("text").rlike(MARK)).select("row", F.posexplode(F.split("text", PIECES)).alias("piece_no", "piece"))
-    words = cut.filter(F.col("piece").rlike(MARK)).select("row", "piece_no", word_column(F.col("piece")).alias("words"))
-    # two-word marks are found at their first word
-    word = lambda w: w.rlike(f"^(?:{MARKS.replace(' commons', '').replace('eclipse public', 'eclipse').replace('boost software', 'boost').replace('cc[ -]by', 'cc')})")
-    at = F.filter(F.transform("words", lambda w, i: F.when(word(w), i)), lambda i: i.isNotNull())
-    words = words.withColumn("at", at).filter(F.size("at") > 0)
+def told(gram: str) -> bool:
+    """Whether an n-gram says something: one of its words is neither a stop word nor a number."""
+    return any(w not in STOP and not w.replace(".", "").isdigit() for w in gram.split(" "))
+
+
+def stretches(at: Column) -> Column:
+    """Stretches (lo, hi) of up to ``CONTEXT`` words on both sides of places; those that touch are one."""
     span = "struct<lo: int, hi: int>"
 
     def step(done: Column, i: Column) -> Column:
@@ -211,9 +211,34 @@ def passages_of(docs: DataFrame) -> DataFrame:
         grown = F.struct(last["lo"].alias("lo"), hi.alias("hi")).cast(span)
         return F.when(F.size(done) == 0, F.array(new)).when(lo <= last["hi"], F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown))).otherwise(F.concat(done, F.array(new)))
 
-    spans = F.aggregate("at", F.array().cast(f"array<{span}>"), step)
-    found = words.select("row", "piece_no", "words", F.posexplode(spans).alias("n", "s"))
-    return found.select("row", F.struct("piece_no", "n").alias("passage"), F.slice("words", F.col("s.lo") + 1, F.col("s.hi") - F.col("s.lo")).alias("words"))
+    return F.aggregate(at, F.array().cast(f"array<{span}>"), step)
+
+
+def passages_of(docs: DataFrame, alike: float = 0.75) -> DataFrame:
+    """(row, passage, words) of (row, text): around the marks, and around every other place
+    where two words of a notice stand (``passage.more``). Pairs of stop words are places only
+    where they are so dense that they alone could confirm the piece."""
+    known = sorted(set().union(*[ngrams(words_of(t), 2, 2) for f, t, _ in notices() if f != UNKNOWN]))
+    cut = docs.filter("text <> ''").select("row", F.posexplode(F.split("text", PIECES)).alias("piece_no", "piece"))
+    words = cut.select("row", "piece_no", F.col("piece").rlike(MARK).alias("marked"), word_column(F.col("piece")).alias("words"))
+    # a last word stands alone, which is no pair
+    words = words.withColumn("pairs", F.transform("words", lambda w, i: F.concat_ws(" ", w, F.get(F.col("words"), i + 1))))
+    words = words.withColumn("known", F.filter(F.transform("pairs", lambda p, i: F.when(p.isin(known), i)), lambda i: i.isNotNull()))
+    # two-word marks are found at their first word
+    word = lambda w: w.rlike(f"^(?:{MARKS.replace(' commons', '').replace('eclipse public', 'eclipse').replace('boost software', 'boost').replace('cc[ -]by', 'cc')})")
+    none = F.array().cast("array<int>")
+    marks = F.when(F.col("marked"), F.filter(F.transform("words", lambda w, i: F.when(word(w), i)), lambda i: i.isNotNull())).otherwise(none)
+    distinct = lambda places: F.size(F.array_distinct(F.transform(places, lambda i: F.get(F.col("pairs"), i))))
+    own = F.greatest(F.size(F.array_distinct(F.slice("pairs", F.lit(1), F.greatest(F.size("pairs") - 1, F.lit(0))))), F.lit(4))
+    strong = F.filter("known", lambda i: F.get(F.col("pairs"), i).isin([p for p in known if told(p)]))
+    places = F.when(F.size("known") == 0, none).when(distinct(F.col("known")) >= alike * own, F.col("known")).otherwise(strong)
+    words = words.select("row", "piece_no", "words", stretches(marks).alias("spans"), places.alias("places"))
+    left = F.filter("places", lambda i: ~F.exists("spans", lambda s: (s["lo"] <= i) & (i + 1 < s["hi"])))
+    tag = lambda spans, more: F.transform(spans, lambda s: F.struct(s["lo"].alias("lo"), s["hi"].alias("hi"), F.lit(more).alias("more")))
+    # a number that is not deterministic keeps filters from being pushed below, where all would be computed again
+    words = words.select("row", F.monotonically_increasing_id().alias("piece"), "words", F.concat(tag(F.col("spans"), False), tag(stretches(left), True)).alias("spans"))
+    found = words.select("row", "piece", "words", F.explode("spans").alias("s"))
+    return found.select("row", F.struct("piece", "s.lo", "s.hi", "s.more").alias("passage"), F.slice("words", F.col("s.lo") + 1, F.col("s.hi") - F.col("s.lo")).alias("words"))
 
 
 def scan(docs: DataFrame, model: Model, least: float = 0.5, alike: float = 0.75) -> tuple[DataFrame, DataFrame]:
@@ -223,7 +248,7 @@ def scan(docs: DataFrame, model: Model, least: float = 0.5, alike: float = 0.75)
     spark, ws = docs.sparkSession, Workspace(docs.sparkSession, "licences")
     rows = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     k = len(model.families)
-    found = ws.table(passages_of(rows), "found")
+    found = ws.table(passages_of(rows, alike), "found")
     # passages are few bytes and much work, so partitions are set by their number
     tasks = max(1, found.count() // PER_TASK)
     found = found.repartition(tasks)
@@ -248,6 +273,10 @@ def scan(docs: DataFrame, model: Model, least: float = 0.5, alike: float = 0.75)
     near = near.groupBy("row", "passage").agg(F.max(F.when(F.col("other") == F.col("family"), F.col("held"))).alias("similarity"), F.max("held").alias("best"))
     near = near.filter((F.col("similarity") >= alike) & (F.col("similarity") >= F.col("best")))
     passages = both.join(near.select("row", "passage", "similarity"), ["row", "passage"])
+    # a notice that a passage around marks tells is not counted again
+    m = passages.filter("NOT passage.more").select(F.col("passage").alias("by"), F.col("family").alias("told"))
+    e, again = F.col("passage"), F.col("by")
+    passages = passages.join(m, (e["piece"] == again["piece"]) & e["more"] & (F.col("family") == F.col("told")) & (e["lo"] < again["hi"]) & (again["lo"] < e["hi"]), "left_anti")
     passages = ws.table(passages.select("row", "passage", F.array_join("words", " ").alias("text"), "family", "probability", "similarity"), "passages")
     best = passages.groupBy("row").agg(F.max(F.struct("probability", "similarity", F.col("family"))).alias("best"), F.count("*").alias("n_paragraphs"))
     best = best.select("row", F.col("best.family").alias("license"), F.col("best.probability").alias("probability"), F.col("best.similarity").alias("similarity"), "n_paragraphs")

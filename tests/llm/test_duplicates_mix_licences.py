@@ -234,6 +234,32 @@ def test_common_notices_stay_found(spark, licence_model):
     assert license_model.scan(df, licence_model)[1].filter("license = 'mit'").count() == 500
 
 
+def test_notices_without_marks_are_found(spark, licence_model):
+    """Every place where words of a notice stand is looked at, with marks near it or without."""
+    anyone = next(t for f, t, _ in license_model.notices() if t.startswith("Anyone is free to copy"))
+    binary = "In source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    far = " ".join(["word"] * 60)
+    texts = [anyone, f"{far} {anyone} {far}", f"license {far} {anyone[:-1]} {far} licence {far} {anyone}", f"He lost his license there {anyone}", binary, "of the house and the river, in the light of the stone", f"{far} to any of the {far}", "any later version", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["license"], r["n_paragraphs"]) for r in license_model.scan(df, licence_model)[1].collect()}
+    assert [got[i] for i in range(len(texts))] == [("unlicense", 1), ("unlicense", 1), ("unlicense", 2), ("unlicense", 1), ("bsd", 1), *[("unknown", 0)] * 5]
+
+
+def test_every_word_pair_of_a_notice_is_in_a_passage(spark):
+    """Pairs that say something are in a passage with their context, whatever stands around them."""
+    m, far = license_model, ["word"] * 60
+    pairs = sorted({p for f, t, _ in m.notices() if f != m.UNKNOWN for p in m.ngrams(m.words_of(t), 2, 2) if m.told(p)})
+    df = spark.createDataFrame([(i, " ".join([*far[i % 60 :], p, *far])) for i, p in enumerate(pairs)], "row long, text string")
+    found = {}
+    for r in m.passages_of(df).collect():
+        found.setdefault(r["row"], []).append(r["words"])
+    missed = [p for i, p in enumerate(pairs) if not any(f" {p} " in f" {' '.join(w)} " and len(w) >= m.CONTEXT + 2 for w in found.get(i, []))]
+    assert len(pairs) > 400 and not missed, missed
+    # a piece of stop words alone is a passage where they could confirm it
+    dense = spark.createDataFrame([(0, "with this is under the"), (1, " ".join([*far, "with this is under the", *far]))], "row long, text string")
+    assert [(r["row"], r["words"]) for r in m.passages_of(dense).collect()] == [(0, ["with", "this", "is", "under", "the"])]
+
+
 def test_held_out_notices_are_told_apart(licence_model):
     """The first fit, which has not seen the held-out notices, names their families."""
     rng, m = random.Random(1), license_model
