@@ -255,6 +255,9 @@ def test_every_word_pair_of_a_notice_is_in_a_passage(spark):
         found.setdefault(r["row"], []).append(r["words"])
     missed = [p for i, p in enumerate(pairs) if not any(f" {p} " in f" {' '.join(w)} " and len(w) >= m.CONTEXT + 2 for w in found.get(i, []))]
     assert len(pairs) > 400 and not missed, missed
+    # the others alone do not confirm a notice around which there is some context
+    for p in [m.ngrams(m.words_of(t), 2, 2) for f, t, _ in m.notices() if f != m.UNKNOWN and len(m.words_of(t)) > 1]:
+        assert sum(not m.told(x) for x in p) < 0.75 * min(len(p), m.CONTEXT)
     # a piece of stop words alone is a passage where they could confirm it
     dense = spark.createDataFrame([(0, "with this is under the"), (1, " ".join([*far, "with this is under the", *far]))], "row long, text string")
     assert [(r["row"], r["words"]) for r in m.passages_of(dense).collect()] == [(0, ["with", "this", "is", "under", "the"])]
