@@ -24,6 +24,7 @@ import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
@@ -106,20 +107,27 @@ class Index:
 
     def nth_after(self, shard: str, after: int, n: int) -> int:
         """The sequence of the n-th record after ``after``, or the last one of the shard."""
+        return (self.page_ends(shard, after, n) or [self.last(shard)])[-1]
+
+    def page_ends(self, shard: str, after: int, n: int, pages: int = 1) -> list[int]:
+        """The last sequence of each of the next pages of ``n`` records after ``after``."""
         ahead = sorted((s for s in self.shards.get(shard, []) if s.last > after), key=lambda s: s.first)
         sure = sum(s.records for s in ahead if s.first > after) + sum(1 for s in ahead if s.first <= after)
         if sure <= n and all(s.first > after for s in ahead):
-            return self.last(shard)
-        seqs = pa.array([], pa.int64())
+            return [self.last(shard)] if ahead else []
+        found, most = [np.array([], np.int64)], n * pages
         for k, s in enumerate(ahead):
             with self.fs.open_input_file(s.file) as f:
                 t = pq.read_table(f, columns=["shard_id", "seq"])
             t = t.filter((pc.field("shard_id") == shard) & (pc.field("seq") > after) & (pc.field("seq") >= s.first) & (pc.field("seq") <= s.last))
-            seqs = pc.unique(pa.concat_arrays([seqs, t.column("seq").combine_chunks()]))
-            seqs = seqs.take(pc.sort_indices(seqs))
-            if len(seqs) >= n and (k + 1 == len(ahead) or ahead[k + 1].first > seqs[n - 1].as_py()):
-                return seqs[n - 1].as_py()
-        return self.last(shard)
+            found.append(t.column("seq").to_numpy())
+            if sum(map(len, found)) >= most:
+                found = [np.unique(np.concatenate(found))]
+                if len(found[0]) >= most and (k + 1 == len(ahead) or ahead[k + 1].first > found[0][most - 1]):
+                    break
+        seqs = np.unique(np.concatenate(found))[:most]
+        ends = seqs[n - 1 :: n].tolist()
+        return ends if len(seqs) % n == 0 else [*ends, int(seqs[-1])]
 
     def ranges(self, shard: str, after: int, upto: int) -> list[ShardRange]:
         """Stretches of (after, upto] whose files overlap, one after the other."""
