@@ -253,3 +253,32 @@ def test_rows_go_to_python_in_batches_of_few_bytes(spark):
         assert most <= 10
     finally:
         spark.conf.set(key, seen)
+
+
+def test_payloads_of_all_codecs_are_read_once_where_they_are_equal(spark, monkeypatch):
+    """Every codec is told what its own payloads hold: one that gives other bytes, one that
+    gives none, and the rest, which share a reading; no batches are no error."""
+    from telestream.plans import reports
+
+    ship(spark)
+    read, real = [], reports.receiver.read_records
+    monkeypatch.setattr(reports.receiver, "read_records", lambda rows, *a: read.append(rows) or real(rows, *a))
+    monkeypatch.setitem(codecs._UNPACK, "zlib", lambda b: b"none")
+    monkeypatch.setitem(codecs._UNPACK, "deflate", lambda b: b[:-999] + 1)
+    record = otlp.build("LogRecord", time_unix_nano=F.col("id") + 1)
+    x = spark.range(3).select(F.array(otlp.build("ResourceLogs", scope_logs=F.array(otlp.build("ScopeLogs", log_records=F.array(record, record))))).alias("resources"))
+    for e in ENCODINGS:
+        got = {r["codec"]: (r["delivered"], r["items"]) for r in reports._codec_reads(x, "logs", e).collect()}
+        assert got == {c: (0, None) if c in ("zlib", "deflate") else (3, 6) for c in CODECS}
+        assert read[-1].count() == 9
+    assert len(read) == len(ENCODINGS)
+    assert sorted(tuple(r) for r in reports._codec_reads(x.filter("false"), "logs", e).collect()) == sorted((c, 0, None) for c in CODECS)
+
+
+def test_smaller_batches_end_with_what_they_are_for(spark):
+    from telestream import packaging
+
+    before = spark.conf.get(packaging.BATCH_KEY)
+    with packaging.smaller_batches(spark, 2):
+        assert spark.conf.get(packaging.BATCH_KEY) == "2m"
+    assert spark.conf.get(packaging.BATCH_KEY) == before
